@@ -24,9 +24,10 @@ _NOISE = r"""("[^"]*+")|'[^']*+(?:''[^']*+)*+'|--[^\n]*+|/\*[\s\S]*?\*/"""
 _PARENTHESES = r"\((?:[^()]++|\([^()]*+\))*+\)"
 _CLUSTER_BY = r"(?i)\bcluster\s+by\s*" + _PARENTHESES
 _TABLE_NAME = r"(?i)\bTABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?((?:\"[^\"]*\"|[^\s(\"])+)"
-_BODY = r"(?is)\bTABLE\b[^(]*+\((.*)\)"
+_BODY = r'(?is)\bTABLE\b(?:"[^"]*+"|[^("])*+\((.*)\)'
 # One item of the column list: up to a comma outside quotes and parentheses.
 _ITEM = r'(?:"[^"]*+"|' + _PARENTHESES + r'|[^,()"]++)++'
+_BLANKS = " \t\r\n\f\v"
 _COLUMN = r'^\s*(?:"([^"]+)"|(\w+))\s+([\w(),\s]+)'
 
 
@@ -57,7 +58,7 @@ def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
         "table_name",
         (F.col("_pos") + 1).alias("ordinal"),
         F.when(quoted != "", quoted).otherwise(bare).alias("name"),
-        F.trim(F.regexp_extract("_item", _COLUMN, 3)).alias("type_text"),
+        F.trim(F.regexp_extract("_item", _COLUMN, 3), F.lit(_BLANKS)).alias("type_text"),
         F.upper(bare).isin(*CONSTRAINT_WORDS).alias("_constraint"),
     )
     return parsed.where((F.col("name") != "") & ~F.col("_constraint")).drop("_constraint")
@@ -70,7 +71,7 @@ def spark_type_of(type_text: Column) -> Column:
     are dropped, NUMBER without scale narrows by precision, DECIMAL and NUMERIC
     do not narrow.
     """
-    t = F.upper(F.trim(type_text))
+    t = F.upper(F.trim(type_text, F.lit(_BLANKS)))
     number = r"^(NUMBER|DECIMAL|NUMERIC)\((\d+)(?:,\s*(\d+))?\)"
     base = F.regexp_extract(t, number, 1)
     precision = F.regexp_extract(t, number, 2).try_cast("int")

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from costflow.sqltext import Projection, literal, project, quote, require_unique
 
 
-def lowercase_nested_items(schema: T.StructType, into_collections: bool = False) -> Projection:
+def lowercase_nested_items(
+    schema: T.StructType, into_collections: bool = False, shallow: Collection[str] = ()
+) -> Projection:
+    """`shallow` names columns whose inside is left alone, since it is flattened next."""
     require_unique((f.name.lower() for f in schema.fields), "lower-case names")
     return [
-        (f.name.lower(), _renamed(quote(f.name), f.dataType, into_collections, f.name))
+        (
+            f.name.lower(),
+            quote(f.name)
+            if f.name.lower() in shallow
+            else renamed(quote(f.name), f.dataType, into_collections, f.name),
+        )
         for f in schema.fields
     ]
 
@@ -36,22 +46,25 @@ def lowercase_top(df: DataFrame) -> DataFrame:
     return project(df, lowercase_top_items(df.schema))
 
 
-def _renamed(value: str, dtype: T.DataType, into_collections: bool, path: str, depth: int = 0) -> str:
+def renamed(
+    value: str, dtype: T.DataType, into_collections: bool = False, path: str = "", depth: int = 0
+) -> str:
+    """SQL text of `value` with lower-case member names, null where `value` is null."""
     if not _has_upper_case(dtype, into_collections):
         return value
     if isinstance(dtype, T.StructType):
         require_unique((f.name.lower() for f in dtype.fields), f"lower-case names in {path}")
         members = ", ".join(
             f"{literal(f.name.lower())}, "
-            + _renamed(f"{value}.{quote(f.name)}", f.dataType, into_collections, f"{path}.{f.name}", depth)
+            + renamed(f"{value}.{quote(f.name)}", f.dataType, into_collections, f"{path}.{f.name}", depth)
             for f in dtype.fields
         )
         return f"CASE WHEN {value} IS NOT NULL THEN named_struct({members}) END"
     item = f"item{depth}"
     if isinstance(dtype, T.ArrayType):
-        inner = _renamed(item, dtype.elementType, into_collections, f"{path}[]", depth + 1)
+        inner = renamed(item, dtype.elementType, into_collections, f"{path}[]", depth + 1)
         return f"transform({value}, {item} -> {inner})"
-    inner = _renamed(item, dtype.valueType, into_collections, f"{path}{{}}", depth + 1)
+    inner = renamed(item, dtype.valueType, into_collections, f"{path}{{}}", depth + 1)
     return f"transform_values({value}, (key{depth}, {item}) -> {inner})"
 
 

@@ -11,13 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from costflow.operators.catalog import TargetSchema
 from costflow.operators.conform import conform, conform_items
-from costflow.operators.flatten import flatten_append, flatten_in_place, flatten_in_place_items
+from costflow.operators.flatten import (
+    COST_STRUCTS,
+    flatten_append,
+    flatten_in_place,
+    flatten_in_place_items,
+)
 from costflow.operators.layout import partition_last_items
-from costflow.operators.names import lowercase_nested, lowercase_top_items
+from costflow.operators.names import lowercase_nested_items, lowercase_top_items
 from costflow.sinks.runlog import RunLog
 from costflow.sinks.table import TableSink
 from costflow.sources.parquet import scan_recursive
-from costflow.sqltext import quote, select_statement
+from costflow.sqltext import project, quote, select_statement
 
 LAYOUTS = {"append": flatten_append, "in_place": flatten_in_place}
 
@@ -27,9 +32,13 @@ def standardize(
 ) -> DataFrame:
     """Raw feed to flat, typed columns. Lazy; Catalyst folds it into one projection.
 
+    The cost structs are not rebuilt with lower-case members only to be taken
+    apart again: members come straight from the file's struct, so the scan reads
+    just those a consumer asks for and filters on them reach it.
     Without a target the cast step is left out. `policies` go to `conform`.
     """
-    flat = LAYOUTS[layout](lowercase_nested(df))
+    lower = project(df, lowercase_nested_items(df.schema, shallow=COST_STRUCTS))
+    flat = LAYOUTS[layout](lower, deep=True)
     return flat if target is None else conform(flat, target, **policies)
 
 

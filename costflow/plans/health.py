@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +29,8 @@ def health_check(
             checked = _counted(spark.read.parquet(path), name, key)
             if isolate:
                 checked = spark.createDataFrame(checked.collect(), HEALTH_SCHEMA)
-        except PySparkException as error:
-            reason = error.getCondition() or type(error).__name__
-            checked = spark.createDataFrame([(name, None, None, False, reason)], HEALTH_SCHEMA)
+        except (PySparkException, Py4JJavaError) as error:
+            checked = spark.createDataFrame([(name, None, None, False, _reason(error))], HEALTH_SCHEMA)
         parts.append(checked)
     return reduce(DataFrame.unionByName, parts)
 
@@ -44,3 +44,8 @@ def _counted(df: DataFrame, name: str, key: str) -> DataFrame:
         ((F.col("row_count") > 0) & (F.col("null_keys") == 0)).alias("ok"),
         F.lit(None).cast("string").alias("problem"),
     )
+
+
+def _reason(error: Exception) -> str:
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return condition or str(error).strip().splitlines()[-1]

@@ -8,7 +8,8 @@ operations are composed from what the session catalog offers.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -46,9 +47,9 @@ APPEND_PROPERTIES = {
 class TableSink:
     """Where and how a table is written.
 
-    `location` is a folder; each full write goes to a fresh folder below it, so
-    a failed write never touches the table in use. Without it the catalog picks
-    the place. The table is partitioned by `partition_col` where the data has
+    `location` is a folder, by default one beside the other tables of the
+    database. Each full write goes to a fresh folder below it, so a failed write
+    never touches the table in use. The table is partitioned by `partition_col` where the data has
     that column. `cluster` brings equal partition values together first, so a
     date does not end up as one small file per task; turn it off for input that
     is already laid out by date.
@@ -71,7 +72,7 @@ class TableSink:
             self._v2_writer(df, REPLACE_PROPERTIES).createOrReplace()
             return
         staged = self._staged_name()
-        self._v1_writer(df).saveAsTable(staged)
+        self._new_v1_writer(df).saveAsTable(staged)
         self._swap_in(df.sparkSession, staged)
 
     def replace_from_view(self, spark: SparkSession, view: str) -> None:
@@ -95,10 +96,10 @@ class TableSink:
             )
             return
         staged = self._staged_name()
-        place = f"LOCATION {literal(self._fresh_folder())}" if self.location else ""
+        place = literal(self._fresh_folder(spark))
         spark.sql(
             f"CREATE TABLE {staged} USING {self.fmt} OPTIONS ({_pairs(self.options)}) "
-            f"{by} {place} AS {query}"
+            f"{by} LOCATION {place} AS {query}"
         )
         self._swap_in(spark, staged)
 
@@ -112,9 +113,9 @@ class TableSink:
             writer = self._v2_writer(df, APPEND_PROPERTIES)
             writer.append() if exists else writer.create()
         elif exists:
-            self._v1_writer(df, new=False).mode("append").saveAsTable(self.table)
+            self._v1_writer(df).mode("append").saveAsTable(self.table)
         else:
-            self._v1_writer(df).saveAsTable(self.table)
+            self._new_v1_writer(df).saveAsTable(self.table)
 
     def replace_period(self, df: DataFrame, first: date, past: date) -> None:
         """Make `df` the table's only rows with `first <= partition date < past`.
@@ -138,11 +139,9 @@ class TableSink:
             return
         before = self._dates(spark, first, past)
         ordered = df.select(*(quote(c) for c in spark.table(self.table).columns))
-        (
-            ordered.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(self.table)
-        )
+        # insertInto heeds the session setting only, not the writer option.
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            ordered.write.mode("overwrite").insertInto(self.table)
         if before:
             # Dates the earlier load had and this one has not. At most one row
             # per day of the period comes back, from a scan of one column.
@@ -173,14 +172,13 @@ class TableSink:
         )
         return df.withColumn(self.partition_col, checked)
 
-    def _v1_writer(self, df: DataFrame, new: bool = True):
+    def _v1_writer(self, df: DataFrame):
         writer = df.write.format(self.fmt).options(**self.options)
         partition = self._partition_of(df)
-        if partition:
-            writer = writer.partitionBy(partition)
-        if new and self.location:
-            writer = writer.option("path", self._fresh_folder())
-        return writer
+        return writer.partitionBy(partition) if partition else writer
+
+    def _new_v1_writer(self, df: DataFrame):
+        return self._v1_writer(df).option("path", self._fresh_folder(df.sparkSession))
 
     def _v2_writer(self, df: DataFrame, defaults: Mapping[str, str]):
         writer = df.writeTo(self.table).using("iceberg")
@@ -189,15 +187,20 @@ class TableSink:
         partition = self._partition_of(df)
         return writer.partitionedBy(F.col(quote(partition))) if partition else writer
 
-    def _fresh_folder(self) -> str:
-        return f"{self.location.rstrip('/')}/{uuid.uuid4().hex}"
+    def _fresh_folder(self, spark: SparkSession) -> str:
+        base = self.location
+        if base is None:
+            database, _, name = self.table.rpartition(".")
+            database = database or spark.catalog.currentDatabase()
+            base = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}.data"
+        return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
     def _staged_name(self) -> str:
         return f"{self.table}__staged_{uuid.uuid4().hex[:12]}"
 
     def _swap_in(self, spark: SparkSession, staged: str) -> None:
-        # All data is written by now; only the catalog entry changes. The files
-        # of a table with a location stay behind for whoever still reads them.
+        # All data is written by now; only the catalog entry changes. The old
+        # folder stays behind for whoever still reads it.
         spark.sql(f"DROP TABLE IF EXISTS {self.table}")
         spark.sql(f"ALTER TABLE {staged} RENAME TO {self.table}")
 
@@ -213,7 +216,8 @@ class TableSink:
         others = [f for f in spark.table(self.table).schema.fields if f.name != self.partition_col]
         nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in others)
         spec = f"PARTITION ({quote(self.partition_col)} = DATE'{day}')"
-        spark.sql(f"INSERT OVERWRITE TABLE {self.table} {spec} SELECT {nulls} WHERE false")
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+            spark.sql(f"INSERT OVERWRITE TABLE {self.table} {spec} SELECT {nulls} WHERE false")
         spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {spec}")
 
 
@@ -231,7 +235,21 @@ def list_databases(spark: SparkSession, catalog: str | None = None) -> DataFrame
 
 
 def list_tables(spark: SparkSession, database: str, pattern: str = "*") -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {database} LIKE {literal(pattern)}")
+    listed = spark.sql(f"SHOW TABLES IN {database} LIKE {literal(pattern)}")
+    return listed.where("NOT isTemporary")
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def _pairs(properties: Mapping[str, str]) -> str:
