@@ -92,7 +92,7 @@ def cost_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             "CostCurrencyVendorRaw"
         ),
         epoch_of("l_shipdate", "(l_linenumber % 4)").alias("UsageStartTime"),
-        F.date_format(F.date_add(F.col("l_shipdate").cast("date"), 1), "yyyy-MM-dd").alias("UsageEndTime"),
+        F.date_add(F.col("l_shipdate").cast("date"), 1).cast("string").alias("UsageEndTime"),
         F.month("l_shipdate").alias("Month"),
         (F.col("l_linenumber") % 2).alias("MspExposeToEndCustomers"),
         F.col("l_partkey").alias("Id"),

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costflow.sqltext import one_row
+
 # A table wider than this is taken for a wrong file.
 MAX_COLUMNS = 10_000
 
@@ -151,4 +153,4 @@ def target_from_catalog(catalog: DataFrame) -> TargetSchema:
 
 
 def target_from_text(spark: SparkSession, ddl: str) -> TargetSchema:
-    return target_from_catalog(parse_ddl(spark.createDataFrame([(ddl,)], "value string")))
+    return target_from_catalog(parse_ddl(one_row(spark, value=("string", ddl))))

@@ -11,6 +11,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costflow.sqltext import one_row
+
 MARKER_SCHEMA = (
     "run_id string, seq int, step string, message string, "
     "row_count bigint, column_count int, marked_at timestamp"
@@ -42,9 +44,17 @@ class RunLog:
         row_count: int | None = None,
         column_count: int | None = None,
     ) -> None:
-        row = (self.run_id, self._seq, step, message, row_count, column_count, _now())
+        marker = one_row(
+            self.spark,
+            run_id=("string", self.run_id),
+            seq=("int", self._seq),
+            step=("string", step),
+            message=("string", message),
+            row_count=("bigint", row_count),
+            column_count=("int", column_count),
+            marked_at=("timestamp", _now()),
+        )
         self._seq += 1
-        marker = self.spark.createDataFrame([row], MARKER_SCHEMA).coalesce(1)
         marker.write.mode("append").parquet(f"{self.path}/markers")
 
     @contextmanager
@@ -57,10 +67,18 @@ class RunLog:
         self, job: str, table: str, input_path: str, raw_count: int, output_count: int, columns_out: int
     ) -> Mapping[str, float]:
         timings = self.timings | {"total_sec": round(time.monotonic() - self._started, 2)}
-        row = (
-            self.run_id, job, table, input_path, raw_count, output_count, columns_out, timings, _now()
-        )
-        summary = self.spark.createDataFrame([row], SUMMARY_SCHEMA).coalesce(1)
+        summary = one_row(
+            self.spark,
+            run_id=("string", self.run_id),
+            job=("string", job),
+            table=("string", table),
+            input_path=("string", input_path),
+            raw_count=("bigint", raw_count),
+            output_count=("bigint", output_count),
+            columns_out=("int", columns_out),
+            timings=("map<string,double>", timings),
+            finished_at=("timestamp", _now()),
+        )
         summary.write.mode("append").json(f"{self.path}/summaries")
         return timings
 

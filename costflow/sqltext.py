@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 Projection = list[tuple[str, str]]
 
@@ -39,3 +39,9 @@ def project(df: DataFrame, projection: Projection) -> DataFrame:
 def select_statement(projection: Projection, relation: str) -> str:
     items = ",\n  ".join(select_list(projection))
     return f"SELECT\n  {items}\nFROM {relation}"
+
+
+def one_row(spark: SparkSession, **values: tuple[str, object]) -> DataFrame:
+    """A row of `name=(type, value)`, planned in the JVM without a Python job."""
+    items = ", ".join(f"CAST(:{name} AS {kind}) AS {quote(name)}" for name, (kind, _) in values.items())
+    return spark.sql(f"SELECT {items}", args={name: value for name, (_, value) in values.items()})
