@@ -70,25 +70,21 @@ def column_profile(df: DataFrame, target: TargetSchema, **epochs) -> DataFrame:
     `rejected` counts the values that are there but do not fit the target type.
     """
     types = target.types()
-    counts = [F.count("*").alias("row_count")]
+    counts = ["count(*) AS row_count"]
+    rows = []
+    # SQL text, as a wide table needs over a thousand of these expressions.
     for i, f in enumerate(df.schema.fields):
-        value = F.col(quote(f.name))
-        counts.append(F.count(value).alias(f"filled_{i}"))
+        value, rejected = quote(f.name), "0L"
+        counts.append(f"count({value}) AS filled_{i}")
         if f.name in types and f.dataType != types[f.name]:
-            fixed = F.expr(_conformed(f, types[f.name], "null", **_epoch_options(epochs)))
-            counts.append(F.count(F.when(value.isNotNull() & fixed.isNull(), 1)).alias(f"rejected_{i}"))
-        else:
-            counts.append(F.lit(0).cast("bigint").alias(f"rejected_{i}"))
-    rows = [
-        F.struct(
-            F.lit(f.name).alias("name"),
-            F.col("row_count"),
-            F.col(f"filled_{i}").alias("filled"),
-            F.col(f"rejected_{i}").alias("rejected"),
+            fixed = _conformed(f, types[f.name], "null", **_epoch_options(epochs))
+            rejected = f"filled_{i} - fitting_{i}"
+            counts.append(f"count({fixed}) AS fitting_{i}")
+        rows.append(
+            f"named_struct('name', {literal(f.name)}, 'row_count', row_count, "
+            f"'filled', filled_{i}, 'rejected', {rejected})"
         )
-        for i, f in enumerate(df.schema.fields)
-    ]
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+    return df.selectExpr(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def cast_rejects(df: DataFrame, target: TargetSchema, **epochs) -> DataFrame:

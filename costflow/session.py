@@ -12,8 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Shuffle bytes per write task. Row-wise shuffle data shrinks to roughly a
-    # third as zstd Parquet, so this lands near 128 MB files.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "384m",
+    # half as zstd Parquet, so this lands near 128 MB files.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Iterator, Mapping
@@ -76,9 +77,9 @@ class RunLog:
             raw_count=("bigint", raw_count),
             output_count=("bigint", output_count),
             columns_out=("int", columns_out),
-            timings=("map<string,double>", timings),
+            timings=("string", json.dumps(timings)),
             finished_at=("timestamp", _now()),
-        )
+        ).withColumn("timings", F.from_json("timings", "map<string,double>"))
         summary.write.mode("append").json(f"{self.path}/summaries")
         return timings
 
