@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
-from contextlib import nullcontext
+from contextlib import contextmanager, nullcontext
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,24 +54,16 @@ def load_replace(
 
     One pass over the source. Counts come from the footers of what was written.
     """
-    timed = log.timed if log else lambda stage: nullcontext()
-    mark = log.mark if log else lambda *args, **kwargs: None
-    mark("start")
-    with timed("read"):
-        raw = scan_recursive(spark, source) if isinstance(source, str) else source
-    mark("source_opened", column_count=len(raw.columns))
-    with timed("standardize"):
-        out = standardize(raw, target, **policies)
-    mark("planned", column_count=len(out.columns))
-    with timed("write"):
-        sink.replace(out)
-    table = spark.table(sink.table)
-    if log:
-        written = table.count()
-        mark("written", sink.table, written, len(table.columns))
-        origin = source if isinstance(source, str) else "DataFrame"
-        log.summarize("load_replace", sink.table, origin, raw.count(), written, len(table.columns))
-    return table
+    with _logged(log) as (mark, timed):
+        with timed("read"):
+            raw = _opened(spark, source)
+        mark("source_opened", column_count=len(raw.columns))
+        with timed("standardize"):
+            out = standardize(raw, target, **policies)
+        mark("planned", column_count=len(out.columns))
+        with timed("write"):
+            sink.replace(out)
+        return _finished("load_replace", source, raw, sink, log)
 
 
 def load_replace_sql(
@@ -79,6 +71,7 @@ def load_replace_sql(
     source: str | DataFrame,
     target: TargetSchema | None,
     sink: TableSink,
+    log: RunLog | None = None,
     **policies,
 ) -> DataFrame:
     """`load_replace` over temp views and one CREATE TABLE AS SELECT.
@@ -86,29 +79,35 @@ def load_replace_sql(
     Each stage is a view on the one before. The select lists are those of the
     DataFrame operators with flattening in place, so both forms agree in values.
     """
-    raw = scan_recursive(spark, source) if isinstance(source, str) else source
     prefix = f"load_{uuid.uuid4().hex[:12]}"
     views = [f"{prefix}_raw"]
-    raw.createOrReplaceTempView(views[0])
-    stages = [
-        ("lower", lowercase_top_items),
-        ("flat", flatten_in_place_items),
-        ("typed", lambda schema: conform_items(schema, target, **policies)),
-        ("final", lambda schema: partition_last_items(schema, sink.partition_col)),
-    ]
-    for stage, items_of in stages:
-        if stage == "typed" and target is None:
-            continue
-        items = items_of(spark.table(views[-1]).schema)
-        name = f"{prefix}_{stage}"
-        spark.sql(
-            f"CREATE OR REPLACE TEMP VIEW {name} AS {select_statement(items, quote(views[-1]))}"
-        )
-        views.append(name)
-    sink.replace_from_view(spark, views[-1])
-    for name in views:
-        spark.catalog.dropTempView(name)
-    return spark.table(sink.table)
+    stages = {
+        "lower": lowercase_top_items,
+        "flat": flatten_in_place_items,
+        "typed": lambda schema: conform_items(schema, target, **policies),
+        "final": lambda schema: partition_last_items(schema, sink.partition_col),
+    }
+    if target is None:
+        del stages["typed"]
+    with _logged(log) as (mark, timed):
+        try:
+            with timed("read"):
+                raw = _opened(spark, source)
+                raw.createOrReplaceTempView(views[0])
+            mark("source_opened", column_count=len(raw.columns))
+            with timed("standardize"):
+                for stage, items_of in stages.items():
+                    items = items_of(spark.table(views[-1]).schema)
+                    query = select_statement(items, quote(views[-1]))
+                    views.append(f"{prefix}_{stage}")
+                    spark.sql(f"CREATE OR REPLACE TEMP VIEW {views[-1]} AS {query}")
+            mark("planned", column_count=len(spark.table(views[-1]).columns))
+            with timed("write"):
+                sink.replace_from_view(spark, views[-1])
+        finally:
+            for name in views:
+                spark.catalog.dropTempView(name)
+        return _finished("load_replace_sql", source, raw, sink, log)
 
 
 def load_periods(
@@ -117,6 +116,7 @@ def load_periods(
     target: TargetSchema | None,
     sink: TableSink,
     mode: str = "replace",
+    log: RunLog | None = None,
     **policies,
 ) -> DataFrame:
     """Load `(path, first date, date past the last)` periods one after the other.
@@ -126,10 +126,43 @@ def load_periods(
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
-    for path, first, past in periods:
-        out = standardize(scan_recursive(spark, path), target, **policies)
-        if mode == "replace":
-            sink.replace_period(out, first, past)
-        else:
-            sink.create_or_append(out)
+    with _logged(log) as (mark, timed):
+        for path, first, past in periods:
+            with timed(f"period_{first}"):
+                out = standardize(scan_recursive(spark, path), target, **policies)
+                if mode == "replace":
+                    sink.replace_period(out, first, past)
+                else:
+                    sink.create_or_append(out)
+            mark(f"period_{first}", path, column_count=len(out.columns))
     return spark.table(sink.table)
+
+
+def _opened(spark: SparkSession, source: str | DataFrame) -> DataFrame:
+    return scan_recursive(spark, source) if isinstance(source, str) else source
+
+
+@contextmanager
+def _logged(log: RunLog | None):
+    """(mark, timed) of a log, or stand-ins; an exception leaves a marker too."""
+    if log is None:
+        yield (lambda *_, **__: None), (lambda _: nullcontext())
+        return
+    log.mark("start")
+    try:
+        yield log.mark, log.timed
+    except Exception as error:
+        log.mark("failed", f"{type(error).__name__}: {error}")
+        raise
+
+
+def _finished(
+    job: str, source: str | DataFrame, raw: DataFrame, sink: TableSink, log: RunLog | None
+) -> DataFrame:
+    table = raw.sparkSession.table(sink.table)
+    if log:
+        written, width = table.count(), len(table.columns)
+        log.mark("written", sink.table, written, width)
+        origin = source if isinstance(source, str) else "DataFrame"
+        log.summarize(job, sink.table, origin, raw.count(), written, width)
+    return table

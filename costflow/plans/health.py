@@ -10,6 +10,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costflow.sinks.table import create_database
+from costflow.sources.files import file_attributes
+from costflow.sources.parquet import scan_recursive
+from costflow.sources.text import load_target
+
 HEALTH_SCHEMA = "input string, row_count bigint, null_keys bigint, ok boolean, problem string"
 
 
@@ -35,6 +40,25 @@ def health_check(
     return reduce(DataFrame.unionByName, parts)
 
 
+def preflight(
+    spark: SparkSession, source: str, ddl: str, database: str, location: str | None = None
+) -> DataFrame:
+    """(check, ok, detail) for the four things a load needs; none of them raises."""
+    checks = {
+        "ddl_file": lambda: f"{file_attributes(spark, ddl, suffix='').first().length} bytes",
+        "ddl_columns": lambda: f"{len(load_target(spark, ddl).columns)} columns",
+        "source": lambda: f"{len(scan_recursive(spark, source).columns)} columns",
+        "database": lambda: create_database(spark, database, location) or database,
+    }
+    results = []
+    for name, check in checks.items():
+        try:
+            results.append((name, True, check()))
+        except (PySparkException, Py4JJavaError, ValueError, AttributeError) as error:
+            results.append((name, False, _reason(error)))
+    return spark.createDataFrame(results, "check string, ok boolean, detail string")
+
+
 def _counted(df: DataFrame, name: str, key: str) -> DataFrame:
     counts = df.agg(F.count("*").alias("row_count"), F.count_if(F.col(key).isNull()).alias("null_keys"))
     return counts.select(
