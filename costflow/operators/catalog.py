@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,9 @@ _TABLE_NAME = r"(?i)\bTABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?((?:\"[^\"]*\"|[^\s(\"])+
 _BODY = r'(?is)\bTABLE\b(?:"[^"]*+"|[^("])*+\((.*)\)'
 # One item of the column list: up to a comma outside quotes and parentheses.
 _ITEM = r'(?:"[^"]*+"|' + _PARENTHESES + r'|[^,()"]++)++'
+_NUMBER = r"^(NUMBER|DECIMAL|NUMERIC)\((\d+)(?:,\s*(\d+))?\)"
 _BLANKS = " \t\r\n\f\v"
+_CONSTRAINT = rf"(?i)^\s*({'|'.join(CONSTRAINT_WORDS)})\s"
 _COLUMN = r'^\s*(?:"([^"]+)"|(\w+))\s+([\w(),\s]+)'
 
 
@@ -53,35 +55,37 @@ def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
         )
         .select(*kept, "table_name", F.posexplode("_items").alias("_pos", "_item"))
     )
+    matched = items.where(F.col("_item").rlike(_COLUMN) & ~F.col("_item").rlike(_CONSTRAINT))
     quoted = F.regexp_extract("_item", _COLUMN, 1)
-    bare = F.regexp_extract("_item", _COLUMN, 2)
-    parsed = items.select(
+    return matched.select(
         *kept,
         "table_name",
         (F.col("_pos") + 1).alias("ordinal"),
-        F.when(quoted != "", quoted).otherwise(bare).alias("name"),
+        F.when(quoted != "", quoted).otherwise(F.regexp_extract("_item", _COLUMN, 2)).alias("name"),
         F.trim(F.regexp_extract("_item", _COLUMN, 3), F.lit(_BLANKS)).alias("type_text"),
-        F.upper(bare).isin(*CONSTRAINT_WORDS).alias("_constraint"),
     )
-    return parsed.where((F.col("name") != "") & ~F.col("_constraint")).drop("_constraint")
 
 
-def spark_type_of(type_text: Column) -> Column:
-    """The Spark type name for a warehouse type text, null if it is not known.
+def map_types(catalog: DataFrame, type_text: str = "type_text") -> DataFrame:
+    """Add `spark_type` and `recognized`; an unknown type becomes a string.
 
     All whole numbers without precision widen to bigint, lengths and time zones
     are dropped, NUMBER without scale narrows by precision, DECIMAL and NUMERIC
     do not narrow.
     """
-    t = F.upper(F.trim(type_text, F.lit(_BLANKS)))
-    number = r"^(NUMBER|DECIMAL|NUMERIC)\((\d+)(?:,\s*(\d+))?\)"
-    base = F.regexp_extract(t, number, 1)
-    precision = F.regexp_extract(t, number, 2).try_cast("int")
-    scale = F.coalesce(F.regexp_extract(t, number, 3).try_cast("int"), F.lit(0))
+    # Parts that several rules use get a column each and are worked out once.
+    upper = F.upper(F.trim(F.col(type_text), F.lit(_BLANKS)))
+    parts = catalog.select("*", upper.alias("_type")).select(
+        "*",
+        F.regexp_extract("_type", _NUMBER, 1).alias("_base"),
+        F.regexp_extract("_type", _NUMBER, 2).try_cast("int").alias("_precision"),
+        F.coalesce(F.regexp_extract("_type", _NUMBER, 3).try_cast("int"), F.lit(0)).alias("_scale"),
+    )
+    t, base, precision, scale = (F.col(c) for c in ("_type", "_base", "_precision", "_scale"))
     decimal = F.format_string(
         "decimal(%d,%d)", F.least(precision, F.lit(38)), F.least(scale, F.lit(38))
     )
-    return (
+    mapped = (
         F.when(t.rlike(r"^(FLOAT|DOUBLE)|^REAL$"), "double")
         .when(t.isin("INTEGER", "INT", "BIGINT", "SMALLINT", "TINYINT"), "bigint")
         .when(t.rlike(r"^(VARCHAR|STRING|CHAR)|^TEXT$"), "string")
@@ -93,15 +97,10 @@ def spark_type_of(type_text: Column) -> Column:
         .when(base != "", decimal)
         .when(t == "NUMBER", "bigint")
     )
-
-
-def map_types(catalog: DataFrame, type_text: str = "type_text") -> DataFrame:
-    """Add `spark_type` and `recognized`; an unknown type becomes a string."""
-    mapped = spark_type_of(F.col(type_text))
-    return catalog.select(
-        "*",
-        F.coalesce(mapped, F.lit("string")).alias("spark_type"),
-        mapped.isNotNull().alias("recognized"),
+    return parts.select(*catalog.columns, mapped.alias("_mapped")).select(
+        *catalog.columns,
+        F.coalesce("_mapped", F.lit("string")).alias("spark_type"),
+        F.col("_mapped").isNotNull().alias("recognized"),
     )
 
 

@@ -11,6 +11,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Fewer, larger scan tasks. Under 2000 shuffle partitions the sizes of all
+    # map outputs stay exact, which the splitting of hot dates relies on.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "1000",
     # Shuffle bytes per write task. Row-wise shuffle data shrinks to roughly a
     # half as zstd Parquet, so this lands near 128 MB files.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
