@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,7 +121,7 @@ class TargetSchema:
 
     def types(self) -> dict[str, T.DataType]:
         """Lower-case name to Spark type; the last of equal names counts."""
-        return {c.name.lower(): T.DataType.fromDDL(c.spark_type) for c in self.columns}
+        return {c.name.lower(): _spark_type(c.spark_type) for c in self.columns}
 
     def unrecognized(self) -> list[TargetColumn]:
         return [c for c in self.columns if not c.recognized]
@@ -134,6 +135,11 @@ class TargetSchema:
         return cls(tuple(TargetColumn(n, t, t) for n, t in columns))
 
 
+@cache
+def _spark_type(name: str) -> T.DataType:
+    return T.DataType.fromDDL(name)
+
+
 def target_from_catalog(catalog: DataFrame) -> TargetSchema:
     """Bring the catalog of one table to the driver as a `TargetSchema`."""
     rows = (

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costflow.sinks.table import create_database
-from costflow.sources.files import file_attributes
+from costflow.sources.files import file_inventory
 from costflow.sources.parquet import scan_recursive
 from costflow.sources.text import load_target
 
@@ -45,16 +45,16 @@ def preflight(
 ) -> DataFrame:
     """(check, ok, detail) for the four things a load needs; none of them raises."""
     checks = {
-        "ddl_file": lambda: f"{file_attributes(spark, ddl, suffix='').first().length} bytes",
-        "ddl_columns": lambda: f"{len(load_target(spark, ddl).columns)} columns",
-        "source": lambda: f"{len(scan_recursive(spark, source).columns)} columns",
+        "ddl_file": lambda: _present(file_inventory(spark, ddl, suffix="").first().total_bytes, "bytes"),
+        "ddl_columns": lambda: _present(len(load_target(spark, ddl).columns), "columns"),
+        "source": lambda: _present(len(scan_recursive(spark, source).columns), "columns"),
         "database": lambda: create_database(spark, database, location) or database,
     }
     results = []
     for name, check in checks.items():
         try:
             results.append((name, True, check()))
-        except (PySparkException, Py4JJavaError, ValueError, AttributeError) as error:
+        except (PySparkException, Py4JJavaError, ValueError) as error:
             results.append((name, False, _reason(error)))
     return spark.createDataFrame(results, "check string, ok boolean, detail string")
 
@@ -70,6 +70,12 @@ def _counted(df: DataFrame, name: str, key: str) -> DataFrame:
     )
 
 
+def _present(count: int, unit: str) -> str:
+    if not count:
+        raise ValueError(f"no {unit}")
+    return f"{count} {unit}"
+
+
 def _reason(error: Exception) -> str:
     condition = error.getCondition() if isinstance(error, PySparkException) else None
     return condition or str(error).strip().splitlines()[-1]

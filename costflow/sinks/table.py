@@ -52,7 +52,8 @@ class TableSink:
     never touches the table in use. The table is partitioned by `partition_col` where the data has
     that column. `cluster` brings equal partition values together first, so a
     date does not end up as one small file per task; turn it off for input that
-    is already laid out by date.
+    is already laid out by date. On the v2 backend the table's own distribution
+    mode does this.
     """
 
     table: str
@@ -113,6 +114,7 @@ class TableSink:
             writer = self._v2_writer(df, APPEND_PROPERTIES)
             writer.append() if exists else writer.create()
         elif exists:
+            self._require_columns(df)
             self._v1_writer(df).mode("append").saveAsTable(self.table)
         else:
             self._new_v1_writer(df).saveAsTable(self.table)
@@ -137,6 +139,7 @@ class TableSink:
                 (day >= F.lit(first)) & (day < F.lit(past))
             )
             return
+        self._require_columns(df)
         before = self._dates(spark, first, past)
         ordered = df.select(*(quote(c) for c in spark.table(self.table).columns))
         # insertInto heeds the session setting only, not the writer option.
@@ -160,7 +163,17 @@ class TableSink:
         if partition is None:
             return df
         df = df.withColumn(partition, F.col(quote(partition)).cast("date"))
-        return distribute_sorted(df, partition) if self.cluster else df
+        own_layout = self.cluster and self.fmt != "iceberg"
+        return distribute_sorted(df, partition) if own_layout else df
+
+    def _require_columns(self, df: DataFrame) -> None:
+        """An existing table takes rows with just its columns; nothing is dropped silently."""
+        given, known = set(df.columns), set(df.sparkSession.table(self.table).columns)
+        if given != known:
+            raise ValueError(
+                f"{self.table}: columns missing from the data: {sorted(known - given)}, "
+                f"columns the table lacks: {sorted(given - known)}"
+            )
 
     def _inside(self, df: DataFrame, first: date, past: date) -> DataFrame:
         day = F.col(quote(self.partition_col)).cast("date")

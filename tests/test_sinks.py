@@ -117,6 +117,41 @@ def test_missing_partition_dates_fail_too(spark, sink):
         sink.replace_period(blank, *SEPTEMBER)
 
 
+def test_other_columns_than_the_table_are_refused(spark, sink):
+    september = days(spark, "2025-09-01", 2)
+    sink.replace_period(september, *SEPTEMBER)
+    for other in (september.withColumn("new", F.lit(1)), september.drop("tag")):
+        with pytest.raises(ValueError, match="new|tag"):
+            sink.replace_period(other, *SEPTEMBER)
+        with pytest.raises(ValueError, match="new|tag"):
+            sink.create_or_append(other)
+    assert spark.table(sink.table).count() == 4
+
+
+def test_v2_statement(spark):
+    """No v2 catalog here, so only the text of the statement is checked."""
+
+    class Spy:
+        def table(self, name):
+            return spark.table(name)
+
+        def sql(self, text):
+            self.text = text
+
+    days(spark, "2025-09-01", 1).createOrReplaceTempView("v2_source")
+    spy = Spy()
+    sink = TableSink("lake.live.cost", fmt="iceberg")
+    sink.replace_from_view(spy, "v2_source")
+    assert spy.text.startswith(
+        "CREATE OR REPLACE TABLE lake.live.cost USING iceberg PARTITIONED BY (`partitiondate`)"
+    )
+    for key, value in REPLACE_PROPERTIES.items():
+        assert f"'{key}' = '{value}'" in spy.text
+    assert spy.text.endswith("FROM `v2_source`")
+    prepared = sink._prepared(days(spark, "2025-09-01", 1))
+    assert "Rebalance" not in prepared._jdf.queryExecution().analyzed().toString()
+
+
 def test_settings_are_left_as_they_were(spark, sink):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
