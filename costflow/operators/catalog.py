@@ -30,10 +30,9 @@ _TABLE_NAME = r"(?i)\bTABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?((?:\"[^\"]*\"|[^\s(\"])+
 _BODY = r'(?is)\bTABLE\b(?:"[^"]*+"|[^("])*+\((.*)\)'
 # One item of the column list: up to a comma outside quotes and parentheses.
 _ITEM = r'(?:"[^"]*+"|' + _PARENTHESES + r'|[^,()"]++)++'
-_NUMBER = r"^(NUMBER|DECIMAL|NUMERIC)\((\d+)(?:,\s*(\d+))?\)"
-_BLANKS = " \t\r\n\f\v"
+_NUMBER = r"^(NUMBER|DECIMAL|NUMERIC)\((\d{1,9})(?:,\s*(\d{1,9}))?\)"
 _CONSTRAINT = rf"(?i)^\s*({'|'.join(CONSTRAINT_WORDS)})\s"
-_COLUMN = r'^\s*(?:"([^"]+)"|(\w+))\s+([\w(),\s]+)'
+_COLUMN = r'^\s*(?:"([^"]+)"|(\w+))\s+([\w(),\s]*[\w(),])'
 
 
 def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
@@ -54,7 +53,9 @@ def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
                 F.regexp_extract("_ddl", _BODY, 1), F.lit(_ITEM), F.lit(0)
             ).alias("_items"),
         )
-        .select(*kept, "table_name", F.posexplode("_items").alias("_pos", "_item"))
+        # The outer form, as the inner one would parse twice to skip empty lists;
+        # the filter below drops those.
+        .select(*kept, "table_name", F.posexplode_outer("_items").alias("_pos", "_item"))
     )
     matched = items.where(F.col("_item").rlike(_COLUMN) & ~F.col("_item").rlike(_CONSTRAINT))
     quoted = F.regexp_extract("_item", _COLUMN, 1)
@@ -63,7 +64,7 @@ def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
         "table_name",
         (F.col("_pos") + 1).alias("ordinal"),
         F.when(quoted != "", quoted).otherwise(F.regexp_extract("_item", _COLUMN, 2)).alias("name"),
-        F.trim(F.regexp_extract("_item", _COLUMN, 3), F.lit(_BLANKS)).alias("type_text"),
+        F.regexp_extract("_item", _COLUMN, 3).alias("type_text"),
     )
 
 
@@ -75,12 +76,19 @@ def map_types(catalog: DataFrame, type_text: str = "type_text") -> DataFrame:
     do not narrow.
     """
     # Parts that several rules use get a column each and are worked out once.
-    upper = F.upper(F.trim(F.col(type_text), F.lit(_BLANKS)))
+    upper = F.upper(F.trim(F.translate(F.col(type_text), "\t\r\n\f\v", "     ")))
     parts = catalog.select("*", upper.alias("_type")).select(
         "*",
         F.regexp_extract("_type", _NUMBER, 1).alias("_base"),
-        F.regexp_extract("_type", _NUMBER, 2).try_cast("int").alias("_precision"),
-        F.coalesce(F.regexp_extract("_type", _NUMBER, 3).try_cast("int"), F.lit(0)).alias("_scale"),
+        F.regexp_extract("_type", _NUMBER, 2).alias("_precision"),
+        F.regexp_extract("_type", _NUMBER, 3).alias("_scale"),
+    ).withColumns(
+        # The pattern lets only digits through that fit an int; no try_cast, as
+        # that raises and catches an exception for each empty text.
+        {
+            "_precision": F.when(F.col("_precision") != "", F.col("_precision").cast("int")),
+            "_scale": F.when(F.col("_scale") != "", F.col("_scale").cast("int")).otherwise(0),
+        }
     )
     t, base, precision, scale = (F.col(c) for c in ("_type", "_base", "_precision", "_scale"))
     decimal = F.format_string(

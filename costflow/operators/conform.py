@@ -139,6 +139,10 @@ def _conformed(
     cast = "CAST" if on_error == "fail" else "TRY_CAST"
     if field.dataType == wanted:
         return value
+    given = value
+    if on_error == "null" and isinstance(field.dataType, T.StringType):
+        # Same result; TRY_CAST raises and catches an exception per bad text.
+        given = f"NULLIF({value}, '')"
     if isinstance(wanted, T.TimestampNTZType):
         if isinstance(field.dataType, _WHOLE):
             return epoch_sql(f"CAST({value} AS BIGINT)", precision, strict_epochs)
@@ -147,9 +151,9 @@ def _conformed(
             digits = literal("^[0-9]{10,19}$")
             return (
                 f"CASE WHEN {value} RLIKE {digits} THEN {epoch} "
-                f"ELSE {cast}({value} AS TIMESTAMP_NTZ) END"
+                f"ELSE {cast}({given} AS TIMESTAMP_NTZ) END"
             )
-    return f"{cast}({value} AS {wanted.simpleString()})"
+    return f"{cast}({given} AS {wanted.simpleString()})"
 
 
 def _epoch_options(options: dict) -> dict:
