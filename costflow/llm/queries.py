@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costflow.llm import line_dedup, mixing, packing, quality_rules, simhash
+from costflow.llm import chat, chunking, line_dedup, mixing, neighbours, packing, quality_rules, sanitise, simhash, warc
 from costflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS_SQL = r"[x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> '']"
 
 
+# -- 1, document fingerprints --------------------------------------------------
+
+
+@registered()
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.fingerprints(table(spark, sf_dir, "documents"))
+
+
 # -- 2, near-duplicates --------------------------------------------------------
 
 
@@ -49,6 +57,25 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+# -- 3, chat formatting --------------------------------------------------------
+
+
+@registered("""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+marked AS (SELECT *, length(replace(role || text, chr(92), chr(92) || chr(92)))
+    + (length(role) - length(replace(replace(replace(replace(role, '<s>', 's>'), '</s>', '/s>'), '[INST]', 'INST]'), '[/INST]', '/INST]')))
+    + (length(text) - length(replace(replace(replace(replace(text, '<s>', 's>'), '</s>', '/s>'), '[INST]', 'INST]'), '[/INST]', '/INST]')))
+    + length('<s>[INST][/INST]</s>') AS written FROM turns),
+told AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+  coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+  CAST(sum(written) AS BIGINT) AS formatted_chars FROM marked GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM told""")
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_probe(table(spark, sf_dir, "conversations"))
+    return chat.digests(chat.format_conversations(turns))
+
+
 # -- 4, packing ----------------------------------------------------------------
 
 
@@ -57,6 +84,31 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+# -- 5, personal data ----------------------------------------------------------
+
+
+@registered()
+def op5_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *(number(kind) for kind in sanitise.PATTERNS),
+        F.sha2(sanitise.named_spans(base), 256).alias("base_sha256"),
+        sanitise.named_spans(F.col("spans")).alias("spans"),
+    )
+
+
+# -- 6, quality classifier -----------------------------------------------------
+
+
+@registered()
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return neighbours.score(docs, neighbours.fit(docs, table(spark, sf_dir, "labels")))
+
+
 # -- 7, mixing -----------------------------------------------------------------
 
 DRAW_SQL = "CAST(('0x' || substr(md5({}), 1, 13)) AS BIGINT) / 4503599627370496.0"
@@ -84,6 +136,20 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limits.select("row.doc_id", "source", F.round("rate", 6).alias("rate"), "copy", "position")
 
 
+# -- 8, WARC -------------------------------------------------------------------
+
+
+@registered(f"""
+WITH rows AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+marked AS (SELECT *, CASE WHEN payload_bytes >= {warc.MIN_REVISIT_BYTES} THEN max(page_id) OVER (PARTITION BY payload_digest) END AS original FROM rows)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN original <> page_id THEN original END AS refers_to FROM marked""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.read_records(warc.write_archives(table(spark, sf_dir, "pages")))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 # -- 9, line dedup -------------------------------------------------------------
 
 _KEY = f"translate(trim(line, {SPACE_CHARS}), '{UPPER}', '{LOWER}')"
