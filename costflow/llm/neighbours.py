@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,13 @@ from pyspark.sql import functions as F
 
 from costflow.llm.common import map_batches, text_of
 
-#: Hashed byte trigrams, latent dimensions, neighbours that vote.
-TERMS = 2048
+#: Hashed byte trigrams, and behind them one term per lag: words equal to the one so many before.
+#: The latter stand out among the many others by a weight.
+HASHED = 2048
+LAGS = (1, 2, 3, 4)
+LAG_WEIGHT = 4
+TERMS = HASHED + len(LAGS)
+#: Latent dimensions, and neighbours that vote.
 LATENT = 64
 NEIGHBOURS = 25
 #: At most so many labelled documents are fitted and searched, the first by a hash of their ids.
@@ -36,17 +42,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 def term_counts(text: str) -> np.ndarray:
-    """Counts of the hashed byte trigrams of the lower-cased text."""
-    data = np.frombuffer(text.lower().encode("utf-8"), np.uint8).astype(np.uint32)
-    if len(data) < 3:
-        return np.zeros(TERMS, np.int64)
-    key = (data[:-2] << np.uint32(16) | data[1:-1] << np.uint32(8) | data[2:]) * np.uint32(2654435761)
-    return np.bincount(key >> np.uint32(32 - 11), minlength=TERMS)
+    """Counts of the hashed byte trigrams of the lower-cased text, and of repeated words by lag."""
+    counts = np.zeros(TERMS, np.int64)
+    plain = text.lower()
+    data = np.frombuffer(plain.encode("utf-8"), np.uint8).astype(np.uint32)
+    if len(data) >= 3:
+        key = (data[:-2] << np.uint32(16) | data[1:-1] << np.uint32(8) | data[2:]) * np.uint32(2654435761)
+        counts[:HASHED] = np.bincount(key >> np.uint32(32 - 11), minlength=HASHED)
+    words = plain.split()
+    counts[HASHED:] = [sum(map(eq, words, words[lag:])) for lag in LAGS]
+    return counts
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Rows of log counts times idf, of length 1 (0 for a text without terms)."""
     rows = np.log1p(counts).astype(np.float32) * idf
+    rows[:, HASHED:] *= LAG_WEIGHT
     return _unit(rows)
 
 
