@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -17,68 +19,109 @@ CAPACITY = 4096
 END_ID = 2
 #: Pieces that one task packs; their lengths and ids are in its memory.
 PIECES_PER_TASK = 40_000
-#: Words whose ids a worker remembers.
-REMEMBERED = 200_000
+#: Words whose ids a worker remembers, twice: those met lately and those met before.
+REMEMBERED = 150_000
+#: Words that are encoded as one string.
+JOINED = 2048
 
 
 # -- tokens --------------------------------------------------------------------
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+TAIL = ".,;:!?"
 
 
 class WordIds:
-    """Token ids by white-space separated words, each distinct word encoded once.
+    """Token ids by white-space separated words; a word met lately is not encoded again.
 
-    Right for tokenizers that drop white space and never join across it, which
-    holds for `word_bpe_49k.json` (`tests/llm/test_packing.py` compares whole texts).
+    Right for tokenizers that split at white space, drop it, split letters from
+    marks and close every such part with an end-of-word token, as
+    `word_bpe_49k.json` does (`tests/llm` compares whole texts). Words of letters
+    alone, with marks behind them at most, are encoded many at a time and told
+    apart by their end-of-word tokens; all others one by one.
     """
 
     def __init__(self, path: str):
-        self.path, self.known = path, {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.lately: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _raw(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, "<u4").tobytes() for ids in self._encoded(texts)]
+
+    def _letters(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters alone."""
+        out = {}
+        for at in range(0, len(words), JOINED):
+            part = words[at : at + JOINED]
+            ids = np.array(self._encoded([" ".join(part)])[0], "<u4")
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(ends) != len(part):  # a word that normalisation takes apart
+                out.update(zip(part, self._raw(part), strict=True))
+                continue
+            raw = ids.tobytes()
+            out.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+        return out
 
-    def of(self, texts: list[str]) -> list[np.ndarray]:
+    def _learn(self, words: set[bytes]) -> None:
+        plain, other, letters = [], [], {}
+        for word in words:
+            text = word.decode("utf-8")
+            base = text.rstrip(TAIL)
+            if base.isalpha() and (base.isascii() or base.islower()):
+                low = base.lower()
+                plain.append((word, low, text[len(base) :]))
+                letters[low] = None
+            else:
+                other.append((word, text))
+        letters = self._letters(list(letters))
+        tails = list({tail for _, _, tail in plain})
+        marks = dict(zip(tails, self._raw(tails), strict=True))
+        self.lately.update((word, letters[base] + marks[tail]) for word, base, tail in plain)
+        self.lately.update(zip((w for w, _ in other), self._raw([t for _, t in other]), strict=True))
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, 32 bits each, little-endian."""
         split = [t.encode("utf-8").split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list({w for words in split for w in words})
-        encoded = _tokenizer(self.path).encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)
-        self.known.update(zip(new, (e.ids for e in encoded), strict=True))
-        known = self.known
-        out = []
-        for words in split:
-            ids: list[int] = []
-            for w in words:
-                ids += known[w]
-            out.append(np.array(ids, "<u4"))
+        new = set().union(*split).difference(self.lately)
+        known = new.intersection(self.before)
+        self.lately.update((w, self.before[w]) for w in known)
+        self._learn(new - known)
+        out = [b"".join(map(self.lately.__getitem__, words)) for words in split]
+        if len(self.lately) > REMEMBERED:
+            self.before, self.lately = self.lately, {}
         return out
 
 
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One per worker and file, kept for its later tasks."""
+    return WordIds(path)
+
+
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_ids = WordIds(path)
+        known, end = word_ids(path), end_id.to_bytes(4, "little")
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
                 rows = []
-                for doc_id, ids in zip(batch.column(0).to_pylist(), word_ids.of(batch.column(1).to_pylist()), strict=True):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    rows += [(doc_id, s, len(ids), ids[s : s + capacity]) for s in range(0, len(ids), capacity)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows], pa.int64()),
-                        pa.array([r[1] for r in rows], pa.int64()),
-                        pa.array([len(r[3]) for r in rows], pa.int64()),
-                        pa.array([r[2] for r in rows], pa.int64()),
-                        pa.array([r[3].tobytes() for r in rows], pa.binary()),
-                    ],
-                    ["doc_id", "start", "length", "doc_tokens", "ids"],
-                )
+                for doc_id, ids in zip(batch.column(0).to_pylist(), known.of(batch.column(1).to_pylist()), strict=True):
+                    ids += end
+                    n = len(ids) // 4
+                    rows += [(doc_id, s, min(capacity, n - s), n, ids[4 * s : 4 * (s + capacity)]) for s in range(0, n, capacity)]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", "ids"])
 
     return run
 
