@@ -10,29 +10,26 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costflow.sqltext import one_row
 
-# A table wider than this is taken for a wrong file.
-MAX_COLUMNS = 10_000
-
 # Bare first words that open a constraint, not a column.
-CONSTRAINT_WORDS = ("CONSTRAINT", "PRIMARY", "FOREIGN", "KEY", "INDEX")
+CONSTRAINT_WORDS = ("CONSTRAINT", "PRIMARY", "FOREIGN", "KEY", "INDEX", "UNIQUE", "CHECK")
 
-# Quoted names survive as group 1; comments and string literals are blanked.
-_NOISE = r"""("[^"]*+")|'[^']*+(?:''[^']*+)*+'|--[^\n]*+|/\*[\s\S]*?\*/"""
-_PARENTHESES = r"\((?:[^()]++|\([^()]*+\))*+\)"
+# Quoted names, a doubled quote being one inside them, survive as group 1; comments and string literals are blanked.
+_NOISE = r"""("(?:[^"]|"")*+")|'[^']*+(?:''[^']*+)*+'|--[^\n]*+|/\*[\s\S]*?\*/"""
+_PARENTHESES = r"\((?:[^()]++|\((?:[^()]++|\([^()]*+\))*+\))*+\)"
 _CLUSTER_BY = r"(?i)\bcluster\s+by\s*" + _PARENTHESES
 _TABLE_NAME = r"(?i)\bTABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?((?:\"[^\"]*\"|[^\s(\"])+)"
 _BODY = r'(?is)\bTABLE\b(?:"[^"]*+"|[^("])*+\((.*)\)'
-# One item of the column list: up to a comma outside quotes and parentheses.
-_ITEM = r'(?:"[^"]*+"|' + _PARENTHESES + r'|[^,()"]++)++'
-_NUMBER = r"^(NUMBER|DECIMAL|NUMERIC)\((\d{1,9})(?:,\s*(\d{1,9}))?\)"
-_CONSTRAINT = rf"(?i)^\s*({'|'.join(CONSTRAINT_WORDS)})\s"
-_COLUMN = r'^\s*(?:"([^"]+)"|(\w+))\s+([\w(),\s]*[\w(),])'
+_NUMBER = r"^(NUMBER|DECIMAL|NUMERIC)\(0*(\d+)(?:,\s*0*(\d+))?\)"
+# A constraint word opens a constraint only before a parenthesis, KEY or a name and another such word.
+_WORDS = "|".join(CONSTRAINT_WORDS)
+_CONSTRAINT = rf"(?i)^\s*({_WORDS})\s*(\(|KEY\b|(\w+|\"[^\"]+\")\s*(\((?!\s*\d)|({_WORDS})\b))"
+_COLUMN = r'^\s*(?:"((?:[^"]|"")+)"|(\w+))\s+([\w(),\s]*[\w(),])'
 
 
 def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
@@ -49,9 +46,7 @@ def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
         .select(
             *kept,
             F.regexp_extract("_ddl", _TABLE_NAME, 1).alias("table_name"),
-            F.regexp_extract_all(
-                F.regexp_extract("_ddl", _BODY, 1), F.lit(_ITEM), F.lit(0)
-            ).alias("_items"),
+            _items(F.regexp_extract("_ddl", _BODY, 1)).alias("_items"),
         )
         # The outer form, as the inner one would parse twice to skip empty lists;
         # the filter below drops those.
@@ -63,11 +58,34 @@ def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
         *kept,
         "table_name",
         (F.col("_pos") + 1).alias("ordinal"),
-        F.when(quoted != "", quoted).otherwise(F.regexp_extract("_item", _COLUMN, 2)).alias("name"),
+        F.when(quoted != "", F.replace(quoted, F.lit('""'), F.lit('"'))).otherwise(F.regexp_extract("_item", _COLUMN, 2)).alias("name"),
         F.regexp_extract("_item", _COLUMN, 3).alias("type_text"),
     )
 
 
+def _items(body: Column) -> Column:
+    """The parts between commas outside quotes and parentheses, at any depth."""
+
+    def complete(text: Column) -> Column:
+        bare = F.regexp_replace(text, r'"[^"]*+"', "")
+        count = lambda char: F.length(bare) - F.length(F.replace(bare, F.lit(char), F.lit("")))
+        return ~bare.contains('"') & (count("(") == count(")"))
+
+    def step(state: Column, part: Column) -> Column:
+        text = F.concat_ws(",", state["open"], part)
+        done = F.struct(F.concat(state["items"], F.array(text)).alias("items"), F.lit(None).cast("string").alias("open"))
+        more = F.struct(state["items"].alias("items"), text.alias("open"))
+        return F.when(complete(text), done).otherwise(more)
+
+    start = F.struct(F.array().cast("array<string>").alias("items"), F.lit(None).cast("string").alias("open"))
+    return F.aggregate(
+        F.split(body, ","),
+        start,
+        step,
+        lambda s: F.when(s["open"].isNull(), s["items"]).otherwise(F.concat(s["items"], F.array(s["open"]))),
+    )
+
+
 def map_types(catalog: DataFrame, type_text: str = "type_text") -> DataFrame:
     """Add `spark_type` and `recognized`; an unknown type becomes a string.
 
@@ -83,12 +101,9 @@ def map_types(catalog: DataFrame, type_text: str = "type_text") -> DataFrame:
         F.regexp_extract("_type", _NUMBER, 2).alias("_precision"),
         F.regexp_extract("_type", _NUMBER, 3).alias("_scale"),
     ).withColumns(
-        # The pattern lets only digits through that fit an int; no try_cast, as
-        # that raises and catches an exception for each empty text.
-        {
-            "_precision": F.when(F.col("_precision") != "", F.col("_precision").cast("int")),
-            "_scale": F.when(F.col("_scale") != "", F.col("_scale").cast("int")).otherwise(0),
-        }
+        # Only digits get here; more of them than an int holds are over 38 anyway.
+        # No try_cast, as that raises and catches an exception for each empty text.
+        {"_precision": _clamped("_precision"), "_scale": F.coalesce(_clamped("_scale"), F.lit(0))}
     )
     t, base, precision, scale = (F.col(c) for c in ("_type", "_base", "_precision", "_scale"))
     decimal = F.format_string(
@@ -113,6 +128,11 @@ def map_types(catalog: DataFrame, type_text: str = "type_text") -> DataFrame:
     )
 
 
+def _clamped(digits: str) -> Column:
+    text = F.col(digits)
+    return F.when(text != "", F.when(F.length(text) > 2, F.lit(38)).otherwise(text.cast("int")))
+
+
 @dataclass(frozen=True)
 class TargetColumn:
     name: str
@@ -149,19 +169,17 @@ def _spark_type(name: str) -> T.DataType:
 
 
 def target_from_catalog(catalog: DataFrame) -> TargetSchema:
-    """Bring the catalog of one table to the driver as a `TargetSchema`."""
-    rows = (
-        map_types(catalog)
-        .select("ordinal", "name", "type_text", "spark_type", "recognized", "table_name")
-        .limit(MAX_COLUMNS + 1)
-        .collect()
-    )
-    if not rows:
+    """Bring the catalog of one table to the driver as a `TargetSchema`.
+
+    That there is one table only is made sure in Spark, before any row moves.
+    """
+    tables = ["table_name", *(c for c in ("statement",) if c in catalog.columns)]
+    found = catalog.select(*tables).distinct().limit(2).count()
+    if not found:
         raise ValueError("no column list found in the DDL")
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"the DDL lists more than {MAX_COLUMNS} columns")
-    if len({row.table_name for row in rows}) > 1:
+    if found > 1:
         raise ValueError("the DDL describes more than one table")
+    rows = map_types(catalog).select("ordinal", "name", "type_text", "spark_type", "recognized").collect()
     return TargetSchema(tuple(TargetColumn(*row[1:5]) for row in sorted(rows)))
 
 

@@ -93,10 +93,9 @@ def cast_rejects(df: DataFrame, target: TargetSchema, **epochs) -> DataFrame:
         [(name, dtype.simpleString()) for name, dtype in target.types().items()],
         "name string, target_type string",
     )
-    # Both sides have one row per column.
     return (
         column_profile(df, target, **epochs)
-        .join(F.broadcast(wanted), "name")
+        .join(wanted, "name")
         .select("name", "target_type", "filled", "rejected")
     )
 
@@ -148,7 +147,7 @@ def _conformed(
             return epoch_sql(f"CAST({value} AS BIGINT)", precision, strict_epochs)
         if isinstance(field.dataType, T.StringType):
             epoch = epoch_sql(f"TRY_CAST({value} AS BIGINT)", precision, strict_epochs)
-            digits = literal("^[0-9]{10,19}$")
+            digits = literal(r"^[ \t\r\n]*[0-9]+[ \t\r\n]*$")
             return (
                 f"CASE WHEN {value} RLIKE {digits} THEN {epoch} "
                 f"ELSE {cast}({given} AS TIMESTAMP_NTZ) END"

@@ -13,20 +13,21 @@ from pyspark.sql import functions as F
 from costflow.sinks.table import create_database
 from costflow.sources.files import file_inventory
 from costflow.sources.parquet import scan_recursive
+from costflow.sqltext import quote
 from costflow.sources.text import load_target
 
 HEALTH_SCHEMA = "input string, row_count bigint, null_keys bigint, ok boolean, problem string"
 
 
 def health_check(
-    spark: SparkSession, inputs: Mapping[str, tuple[str, str]], isolate: bool = False
+    spark: SparkSession, inputs: Mapping[str, tuple[str, str]], isolate: bool = True
 ) -> DataFrame:
     """(input, row_count, null_keys, ok, problem) for `{input: (parquet path, key column)}`.
 
     An input that cannot be opened, or lacks its key, becomes a row with the
-    reason instead of an exception. All others are counted in one job that reads
-    key columns only. With `isolate` each input is counted in a job of its own,
-    so that a damaged file is reported the same way.
+    reason instead of an exception. With `isolate` each input is counted in a job
+    of its own that reads its key column only, so that a damaged file is reported
+    the same way; without it all are counted in one job, which such a file fails.
     """
     parts = []
     for name, (path, key) in inputs.items():
@@ -60,7 +61,7 @@ def preflight(
 
 
 def _counted(df: DataFrame, name: str, key: str) -> DataFrame:
-    counts = df.agg(F.count("*").alias("row_count"), F.count_if(F.col(key).isNull()).alias("null_keys"))
+    counts = df.agg(F.count("*").alias("row_count"), F.count_if(F.col(quote(key)).isNull()).alias("null_keys"))
     return counts.select(
         F.lit(name).alias("input"),
         "row_count",

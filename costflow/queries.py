@@ -433,6 +433,21 @@ def scan_all_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lowercase_top(feed).drop("usageendtime")
 
 
+@registered("""
+SELECT event_id, user_id, event_type,
+  CASE WHEN date_diff('week', DATE '2024-01-01', CAST(ts AS DATE)) % 2 = 0 THEN value END AS value FROM events""")
+def scan_drifting_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second week lacks a column; the scan over all weeks has it."""
+    path = scratch_dir(spark, "drift")
+    events = inputs.dated_events(spark, sf_dir)
+    week = F.floor(F.datediff(F.date_trunc("week", "partitiondate"), F.lit(date(2024, 1, 1))) / 7)
+    even = F.pmod(week, F.lit(2)) == 0
+    plain_columns = ["event_id", "user_id", "event_type", "partitiondate"]
+    overwrite_parquet(events.where(even).select(*plain_columns, "value"), f"{path}/even", "partitiondate")
+    overwrite_parquet(events.where(~even).select(*plain_columns), f"{path}/odd", "partitiondate")
+    return scan_periods(spark, path, ["odd", "even"]).select("event_id", "user_id", "event_type", "value")
+
+
 @registered("SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts written as text files and scanned as lines."""

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder below `spark.checkpoint.dir`.
+    """A new, unused folder below `spark.checkpoint.dir`, or else below the warehouse.
 
-    Only a local master may fall back to the machine's own temporary folder: on
-    a cluster the driver's disk is out of reach for the executors.
+    Never a temporary folder of one machine: executors could not reach it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="costflow-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{base.rstrip('/')}/costflow/{label}-{uuid.uuid4().hex}"

@@ -14,6 +14,8 @@ DEFAULTS = {
     # Fewer, larger scan tasks. Under 2000 shuffle partitions the sizes of all
     # map outputs stay exact, which the splitting of hot dates relies on.
     "spark.sql.files.maxPartitionBytes": "256m",
+    # The caller's to set: about shuffled bytes / 256 MB, and at most 1999. More
+    # is left to the adaptive split of large partitions.
     "spark.sql.shuffle.partitions": "1000",
     # Shuffle bytes per write task. Row-wise shuffle data shrinks to roughly a
     # half as zstd Parquet, so this lands near 128 MB files.

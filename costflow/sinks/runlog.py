@@ -25,7 +25,7 @@ SUMMARY_SCHEMA = (
 
 
 class RunLog:
-    """Appends to `<path>/markers` (Parquet) and `<path>/summaries` (JSON).
+    """Appends to `<path>/markers/<run id>` (Parquet) and `<path>/summaries` (JSON).
 
     Rows carry the run id, so an old run's markers cannot pass for a new one's.
     """
@@ -56,13 +56,15 @@ class RunLog:
             marked_at=("timestamp", _now()),
         )
         self._seq += 1
-        marker.write.mode("append").parquet(f"{self.path}/markers")
+        marker.write.mode("append").parquet(f"{self.path}/markers/{self.run_id}")
 
     @contextmanager
     def timed(self, stage: str) -> Iterator[None]:
         start = time.monotonic()
-        yield
-        self.timings[f"{stage}_sec"] = round(time.monotonic() - start, 2)
+        try:
+            yield
+        finally:
+            self.timings[f"{stage}_sec"] = round(time.monotonic() - start, 2)
 
     def summarize(
         self, job: str, table: str, input_path: str, raw_count: int, output_count: int, columns_out: int
@@ -84,7 +86,8 @@ class RunLog:
         return timings
 
     def markers(self, all_runs: bool = False) -> DataFrame:
-        log = self.spark.read.schema(MARKER_SCHEMA).parquet(f"{self.path}/markers")
+        found = self.spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true")
+        log = found.parquet(f"{self.path}/markers")
         return log if all_runs else log.where(F.col("run_id") == self.run_id)
 
     def summaries(self, all_runs: bool = False) -> DataFrame:

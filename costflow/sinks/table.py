@@ -43,6 +43,10 @@ APPEND_PROPERTIES = {
 }
 
 
+# Added to a table's name while its replacement takes its place.
+ASIDE = "__aside"
+
+
 @dataclass(frozen=True)
 class TableSink:
     """Where and how a table is written.
@@ -212,10 +216,25 @@ class TableSink:
         return f"{self.table}__staged_{uuid.uuid4().hex[:12]}"
 
     def _swap_in(self, spark: SparkSession, staged: str) -> None:
-        # All data is written by now; only the catalog entry changes. The old
-        # folder stays behind for whoever still reads it.
-        spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        # All data is written by now; only catalog entries change. The old one
+        # is dropped last, so that a driver lost at any step leaves one of the two
+        # under a known name. The old folder stays for whoever still reads it.
+        self.recover(spark)
+        aside = f"{self.table}{ASIDE}"
+        if spark.catalog.tableExists(self.table):
+            spark.sql(f"ALTER TABLE {self.table} RENAME TO {aside}")
         spark.sql(f"ALTER TABLE {staged} RENAME TO {self.table}")
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+
+    def recover(self, spark: SparkSession) -> None:
+        """Finish what a swap left undone: the old table back, or its spare entry gone."""
+        aside = f"{self.table}{ASIDE}"
+        if not spark.catalog.tableExists(aside):
+            return
+        if spark.catalog.tableExists(self.table):
+            spark.sql(f"DROP TABLE {aside}")
+        else:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {self.table}")
 
     def _dates(self, spark: SparkSession, first: date, past: date) -> set[date]:
         listed = spark.sql(f"SHOW PARTITIONS {self.table}")

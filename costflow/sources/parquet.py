@@ -13,14 +13,20 @@ def scan_folder(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def scan_recursive(spark: SparkSession, *paths: str, glob: str = "*.parquet") -> DataFrame:
+def scan_recursive(
+    spark: SparkSession, *paths: str, glob: str = "*.parquet", merge: bool = True
+) -> DataFrame:
     """All matching files below the paths, at any depth.
 
     Spark does no partition discovery here: `column=value` folders are just
     folders. The glob is case sensitive. Brace paths such as `base/{a,b}` work.
+    With `merge` the columns of all files are united, rows of files without one
+    getting null, and files that disagree on a type are refused at once; that
+    reads every footer, in a Spark job. Without it, one file stands for all.
     """
     return (
         spark.read.option("recursiveFileLookup", "true")
+        .option("mergeSchema", str(merge).lower())
         .option("pathGlobFilter", glob)
         .parquet(*paths)
     )

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from costflow.operators.catalog import TargetSchema, parse_ddl, target_from_catalog
 
+_STATEMENT = r"""(?:"[^"]*+"|'[^']*+'|--[^\n]*+|/\*[\s\S]*?\*/|[^;"'/-]|[/-](?![/*-])|-(?!-)|/(?!\*))++"""
+
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row `value` per line."""
@@ -13,10 +16,17 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_statements(spark: SparkSession, path: str) -> DataFrame:
-    """One row `value` per SQL statement; large files are split between tasks."""
-    return spark.read.option("lineSep", ";").text(path)
+    """One row `value` per SQL statement: files cut at each `;` outside quotes and comments.
+
+    A file of statements is read whole, as only its beginning tells whether a
+    `;` is inside quotes.
+    """
+    texts = spark.read.text(path, wholetext=True)
+    cut = F.explode(F.regexp_extract_all("value", F.lit(_STATEMENT), F.lit(0))).alias("value")
+    return texts.select(cut).where(F.trim("value", F.lit(" \t\r\n")) != "")
 
 
 def load_target(spark: SparkSession, path: str) -> TargetSchema:
     """The target schema of the one CREATE TABLE statement in a DDL file."""
-    return target_from_catalog(parse_ddl(spark.read.text(path, wholetext=True)))
+    statements = scan_statements(spark, path).withColumn("statement", F.monotonically_increasing_id())
+    return target_from_catalog(parse_ddl(statements))

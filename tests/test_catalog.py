@@ -122,3 +122,23 @@ def test_one_table_only(spark):
 def test_last_of_equal_names_counts():
     target = TargetSchema.of([("A", "int"), ("a", "string")])
     assert target.types()["a"].simpleString() == "string"
+
+
+def test_statements_end_at_semicolons_outside_quotes_and_comments(spark, tmp_path):
+    from costflow.sources.text import load_target, scan_statements
+
+    text = "CREATE TABLE t ( -- first; second\n a INT, /* x; y */ \"b\"\"c\" NUMBER(12345678901,2), d VARCHAR(9) COMMENT 'a; b')"
+    (tmp_path / "one.sql").write_text(text + ";\n")
+    target = load_target(spark, str(tmp_path / "one.sql"))
+    assert [(c.name, c.spark_type) for c in target.columns] == [("a", "bigint"), ('b"c', "decimal(38,2)"), ("d", "string")]
+    (tmp_path / "two.sql").write_text(text + ";" + text)
+    assert scan_statements(spark, str(tmp_path / "two.sql")).count() == 2
+    with pytest.raises(ValueError, match="more than one table"):
+        load_target(spark, str(tmp_path / "two.sql"))
+
+
+def test_deep_parentheses_and_constraints(spark):
+    from costflow.operators.catalog import target_from_text
+
+    ddl = "CREATE TABLE t (a INT DEFAULT (f(g(h(i(1,2),3)))), KEY VARCHAR(3), UNIQUE (a), CHECK (a > 0), PRIMARY KEY (a), b DATE)"
+    assert [c.name for c in target_from_text(spark, ddl).columns] == ["a", "KEY", "b"]

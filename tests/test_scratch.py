@@ -19,10 +19,11 @@ def test_named_folder_is_used():
     assert first.startswith("hdfs://shared/base/costflow/x-") and first != second
 
 
-def test_a_cluster_never_gets_a_local_folder():
+def test_the_warehouse_is_next_and_no_local_folder_after_it():
+    warehouse = FakeSession(spark_sql_warehouse_dir="hdfs://shared/wh")
+    assert scratch_dir(warehouse, "x").startswith("hdfs://shared/wh/costflow/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_dir(FakeSession(spark_master="yarn"), "x")
-    assert scratch_dir(FakeSession(spark_master="local[4]"), "x").startswith("/")
+        scratch_dir(FakeSession(spark_master="local[4]"), "x")
 
 
 def test_session_defaults():

@@ -231,3 +231,17 @@ def test_preview_and_describe(spark, capsys):
     assert preview(spark.range(100), 5).count() == 5
     describe(spark.range(3))
     assert "|-- id: long" in capsys.readouterr().out
+
+
+def test_a_replace_cut_off_at_any_step_leaves_a_table(spark, tmp_path):
+    from costflow.sinks.table import ASIDE, TableSink
+
+    sink = TableSink("cut_off", location=str(tmp_path), partition_col=None)
+    sink.replace(spark.range(3))
+    spark.sql(f"ALTER TABLE cut_off RENAME TO cut_off{ASIDE}")  # lost after the first step
+    sink.recover(spark)
+    assert spark.table("cut_off").count() == 3
+    sink._new_v1_writer(spark.range(1)).saveAsTable("cut_off" + ASIDE)  # lost before the last step
+    sink.replace(spark.range(5))
+    assert spark.table("cut_off").count() == 5 and not spark.catalog.tableExists("cut_off" + ASIDE)
+    spark.sql("DROP TABLE cut_off")
