@@ -20,7 +20,7 @@ END_ID = 2
 #: Pieces that one task packs; their lengths and ids are in its memory.
 PIECES_PER_TASK = 40_000
 #: Words whose ids a worker remembers, twice: those met lately and those met before.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 #: Words that are encoded as one string.
 JOINED = 2048
 
@@ -80,10 +80,12 @@ class WordIds:
             if base.isalpha() and (base.isascii() or base.islower()):
                 low = base.lower()
                 plain.append((word, low, text[len(base) :]))
-                letters[low] = None
+                if low not in letters:
+                    key = low.encode("utf-8")
+                    letters[low] = self.lately.get(key) or self.before.get(key)
             else:
                 other.append((word, text))
-        letters = self._letters(list(letters))
+        letters |= self._letters([base for base, ids in letters.items() if ids is None])
         tails = list({tail for _, _, tail in plain})
         marks = dict(zip(tails, self._raw(tails), strict=True))
         self.lately.update((word, letters[base] + marks[tail]) for word, base, tail in plain)
