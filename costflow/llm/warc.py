@@ -7,6 +7,7 @@ import gzip
 import re
 import uuid
 from collections.abc import Iterator
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ MIN_REVISIT_BYTES = 1000
 #: An archive file is closed once it is this long.
 FILE_BYTES = 1 << 30
 #: Records of one stretch of a file are read by one task.
-STRETCH_BYTES = 32 << 20
+STRETCH_BYTES = 8 << 20
 #: Ranges closer than this are read at once, up to READ_BYTES.
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
@@ -207,8 +208,11 @@ def read_records(index: DataFrame) -> DataFrame:
     """(page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload) of the index rows given.
 
     Rows of a stretch of a file meet in one task, sorted; neighbouring ranges
-    are read at once. `payload` is null for a revisit.
+    are read at once. `payload` is null for a revisit. Tasks go by the bytes to
+    read, not by the size of the index.
     """
     stretch = F.floor(F.col("offset") / STRETCH_BYTES)
-    wanted = index.select("file", "offset", "length").repartition(F.col("file"), stretch).sortWithinPartitions("file", "offset")
+    total = index.agg(F.sum("length")).first()[0] or 0
+    dealt = index.select("file", "offset", "length").repartition(max(1, ceil(total / STRETCH_BYTES)), F.col("file"), stretch)
+    wanted = dealt.sortWithinPartitions("file", "offset")
     return map_batches(wanted, _read_task, RECORD_SCHEMA)
