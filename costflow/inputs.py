@@ -117,7 +117,7 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
-        "event_id", F.col("ts").cast("date").alias("partitiondate"), "user_id", "event_type", "value"
+        "event_id", "ts", F.col("ts").cast("date").alias("partitiondate"), "user_id", "event_type", "value", "props"
     )
 
 

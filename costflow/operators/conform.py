@@ -11,6 +11,7 @@ from costflow.operators.catalog import TargetSchema
 from costflow.sqltext import Projection, literal, project, quote
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_BROKEN = (T.DecimalType, T.DoubleType, T.FloatType)
 
 
 def conform_items(
@@ -51,6 +52,7 @@ def conform(df: DataFrame, target: TargetSchema, **policies) -> DataFrame:
     """Cast every column to its target type; names must be lower case already.
 
     * timestamp target, whole-number source: `epoch_sql`
+    * timestamp target, decimal or floating source: the same for whole values, null for others
     * timestamp target, text source: an all-digit text is an epoch, else a cast
     * any other type that differs: a cast
     * equal type: untouched
@@ -117,12 +119,12 @@ def schema_report(df: DataFrame, target: TargetSchema, profile: bool = False) ->
         "name string, target_type string",
     )
     s, t = F.col("source_type"), F.col("target_type")
-    whole = [dtype().simpleString() for dtype in _WHOLE]
+    whole = [dtype().simpleString() for dtype in (*_WHOLE, T.DoubleType, T.FloatType)]
     status = (
         F.when(s.isNull(), "missing")
         .when(t.isNull(), "extra")
         .when(s == t, "same")
-        .when((t == "timestamp_ntz") & s.isin(whole), "epoch")
+        .when((t == "timestamp_ntz") & (s.isin(whole) | s.startswith("decimal")), "epoch")
         .otherwise("cast")
     )
     report = source.join(wanted, "name", "full_outer").select("name", s, t, status.alias("status"))
@@ -145,6 +147,9 @@ def _conformed(
     if isinstance(wanted, T.TimestampNTZType):
         if isinstance(field.dataType, _WHOLE):
             return epoch_sql(f"CAST({value} AS BIGINT)", precision, strict_epochs)
+        if isinstance(field.dataType, _BROKEN):
+            number = f"TRY_CAST({value} AS BIGINT)"
+            return f"CASE WHEN {number} = {value} THEN {epoch_sql(number, precision, strict_epochs)} END"
         if isinstance(field.dataType, T.StringType):
             epoch = epoch_sql(f"TRY_CAST({value} AS BIGINT)", precision, strict_epochs)
             digits = literal(r"^[ \t\r\n]*[0-9]+[ \t\r\n]*$")

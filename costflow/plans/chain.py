@@ -52,7 +52,8 @@ def load_replace(
 ) -> DataFrame:
     """Replace the table by the standardized source; returns the table read back.
 
-    One pass over the source. Counts come from the footers of what was written.
+    One pass over the source. Counts come from the footers of what was read and
+    written; a DataFrame as source would have to run again, so it is not counted.
     """
     with _logged(log) as (mark, timed):
         with timed("read"):
@@ -163,6 +164,6 @@ def _finished(
     if log:
         written, width = table.count(), len(table.columns)
         log.mark("written", sink.table, written, width)
-        origin = source if isinstance(source, str) else "DataFrame"
-        log.summarize(job, sink.table, origin, raw.count(), written, width)
+        origin, rows = (source, raw.count()) if isinstance(source, str) else ("DataFrame", None)
+        log.summarize(job, sink.table, origin, rows, written, width)
     return table

@@ -12,6 +12,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from costflow import inputs
 from costflow.functions.epoch import epoch_to_ntz
@@ -133,7 +134,7 @@ SELECT * REPLACE (
 FROM ({FLAT_EVENT_SQL})"""
 
 DATED_EVENTS_SQL = """
-SELECT event_id, CAST(ts AS DATE) AS partitiondate, user_id, event_type, value FROM events"""
+SELECT event_id, ts, CAST(ts AS DATE) AS partitiondate, user_id, event_type, value, props FROM events"""
 
 ROWS_PER_DATE_SQL = f"""
 SELECT partitiondate, count(*) AS row_count FROM ({DATED_EVENTS_SQL}) GROUP BY partitiondate"""
@@ -174,9 +175,13 @@ def as_periods(base: str, weeks: list[date]) -> list[tuple[str, date, date]]:
 
 @registered(f"""
 SELECT recordid, accountid, partitiondate, usagestarttime,
+       usageendtime, month, mspexposetoendcustomers, id,
+       costcurrencyvendorusd_adjustedamortizedcost AS usd_adjusted,
        costcurrencyvendorusd_cost AS usd_cost,
        costcurrencyvendorusd_currencycode AS usd_code,
+       costcurrencyvendorraw_adjustedamortizedcost AS raw_adjusted,
        costcurrencyvendorraw_cost AS raw_cost,
+       costcurrencyvendorraw_currencycode AS raw_code,
        costcurrencyvendorraw_cost IS NOT NULL AS has_raw
 FROM ({FLAT_COST_SQL})""")
 def lowercase_nested_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,9 +191,16 @@ def lowercase_nested_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         "accountid",
         "partitiondate",
         "usagestarttime",
+        "usageendtime",
+        "month",
+        "mspexposetoendcustomers",
+        "id",
+        F.col("costcurrencyvendorusd.adjustedamortizedcost").alias("usd_adjusted"),
         F.col("costcurrencyvendorusd.cost").alias("usd_cost"),
         F.col("costcurrencyvendorusd.currencycode").alias("usd_code"),
+        F.col("costcurrencyvendorraw.adjustedamortizedcost").alias("raw_adjusted"),
         F.col("costcurrencyvendorraw.cost").alias("raw_cost"),
+        F.col("costcurrencyvendorraw.currencycode").alias("raw_code"),
         F.col("costcurrencyvendorraw").isNotNull().alias("has_raw"),
     )
 
@@ -200,9 +212,9 @@ def lowercase_top_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""
-SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dimensions,
-       CAST(embedding[1] AS DOUBLE) AS first_value, CAST(embedding[-1] AS DOUBLE) AS last_value
-FROM embeddings""")
+WITH each AS (
+  SELECT vec_id, label, unnest(range(len(embedding))) AS position, unnest(embedding) AS value FROM embeddings)
+SELECT vec_id, label, CAST(position AS INTEGER) AS position, CAST(value AS DOUBLE) AS value FROM each""")
 def lowercase_in_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structs inside an array renamed on request; arrays pass through whole."""
     vectors = table(spark, sf_dir, "embeddings").select(
@@ -210,14 +222,9 @@ def lowercase_in_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("label").alias("Label"),
         F.transform("embedding", lambda x: F.struct(x.alias("Value"))).alias("Embedding"),
     )
-    values = F.col("embedding.value")
-    return lowercase_nested(vectors, into_collections=True).select(
-        "vec_id",
-        "label",
-        F.size(values).alias("dimensions"),
-        F.element_at(values, 1).cast("double").alias("first_value"),
-        F.element_at(values, -1).cast("double").alias("last_value"),
-    )
+    lower = lowercase_nested(vectors, into_collections=True)
+    each = lower.select("vec_id", "label", F.posexplode("embedding.value").alias("position", "value"))
+    return each.withColumn("value", F.col("value").cast("double"))
 
 
 @registered(FLAT_COST_SQL)
@@ -375,10 +382,15 @@ def cast_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- row placement -------------------------------------------------------------
 
 
-@registered(ROWS_PER_DATE_SQL)
+@registered(f"SELECT *, true AS in_order FROM ({ROWS_PER_DATE_SQL})")
 def distribute_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = inputs.dated_events(spark, sf_dir)
-    return rows_per_date(distribute_sorted(events, "partitiondate", partitions=32))
+    """Rows per date, and whether no row of the date follows a later date inside its task."""
+    placed = distribute_sorted(inputs.dated_events(spark, sf_dir), "partitiondate", partitions=32).select(
+        "partitiondate", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("position")
+    )
+    before = F.lag("partitiondate").over(Window.partitionBy("task").orderBy("position"))
+    checked = placed.select("partitiondate", F.coalesce(before <= F.col("partitiondate"), F.lit(True)).alias("in_order"))
+    return checked.groupBy("partitiondate").agg(F.count("*").alias("row_count"), F.bool_and("in_order").alias("in_order"))
 
 
 @registered(ROWS_PER_DATE_SQL)
@@ -414,7 +426,7 @@ def scan_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(table(spark, sf_dir, "orders"))
 
 
-@registered("SELECT event_id, user_id, event_type, value FROM events")
+@registered("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def scan_any_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files two folders down; the folder columns are not discovered."""
     path = scratch_dir(spark, "nested")
@@ -425,12 +437,14 @@ def scan_any_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered(f"""
-SELECT eventid, usagestarttime, userid, value, flag, eventtype, partitiondate FROM ({FLAT_EVENT_SQL})""")
+SELECT f.* REPLACE (CASE WHEN eventid % 2 = 0 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
+  ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS usageendtime)
+FROM ({FLAT_EVENT_SQL}) f JOIN events ON eventid = event_id""")
 def scan_all_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder per week, read by a list of weeks as one scan."""
     base, weeks = event_weeks(spark, sf_dir)
     feed = scan_periods(spark, base, [str(w) for w in weeks], folder="week={}")
-    return lowercase_top(feed).drop("usageendtime")
+    return lowercase_top(feed)
 
 
 @registered("""

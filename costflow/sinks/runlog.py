@@ -67,7 +67,7 @@ class RunLog:
             self.timings[f"{stage}_sec"] = round(time.monotonic() - start, 2)
 
     def summarize(
-        self, job: str, table: str, input_path: str, raw_count: int, output_count: int, columns_out: int
+        self, job: str, table: str, input_path: str, raw_count: int | None, output_count: int, columns_out: int
     ) -> Mapping[str, float]:
         timings = self.timings | {"total_sec": round(time.monotonic() - self._started, 2)}
         summary = one_row(

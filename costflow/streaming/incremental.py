@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from costflow.operators.catalog import TargetSchema
+from costflow.operators.distribute import distribute_sorted
 from costflow.plans.chain import standardize
 
+#: Folder level of the output that names the batch.
+BATCH = "load_batch"
+
 
 def ingest_new_files(
     spark: SparkSession,
@@ -22,9 +26,11 @@ def ingest_new_files(
 ) -> DataFrame:
     """Append the standardized rows of all files not seen before, then stop.
 
-    The checkpoint remembers the files, the output folder's own log the batches
-    that count, so a run that is killed and repeated adds each row once. Every
-    transform is stateless: memory does not grow with the feed.
+    The checkpoint remembers the files. Each batch is written to a folder of its
+    number, which a repeated batch overwrites, so a run that is killed and
+    repeated adds each row once; no log of all files ever written is kept. Rows
+    are brought together by date before the write. Every transform is stateless:
+    memory does not grow with the feed.
     """
     reader = (
         spark.readStream.schema(schema)
@@ -34,16 +40,18 @@ def ingest_new_files(
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     out = standardize(reader.parquet(source), target, **policies)
-    writer = (
-        out.writeStream.format("parquet")
-        .option("path", output)
+    by_date = [partition_col] if partition_col in out.columns else []
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = distribute_sorted(batch, *by_date) if by_date else batch
+        writer = rows.write.mode("overwrite").option("compression", "zstd")
+        writer.option("partitionOverwriteMode", "static").partitionBy(*by_date).parquet(f"{output}/{BATCH}={number}")
+
+    query = (
+        out.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .option("compression", "zstd")
-        .outputMode("append")
         .trigger(availableNow=True)
+        .start()
     )
-    if partition_col in out.columns:
-        writer = writer.partitionBy(partition_col)
-    query = writer.start()
     query.awaitTermination()
-    return spark.read.parquet(output)
+    return spark.read.parquet(output).drop(BATCH)

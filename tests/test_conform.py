@@ -34,6 +34,11 @@ def test_types_and_order(spark):
         ("CAST(NULL AS STRING)", None),
         ("1756684800123L", datetime(2025, 9, 1)),
         ("CAST(7 AS SMALLINT)", None),
+        ("1756684800.0D", datetime(2025, 9, 1)),
+        ("CAST(1756684800123 AS DECIMAL(38,2))", datetime(2025, 9, 1)),
+        ("1756684800.5D", None),
+        ("DOUBLE('NaN')", None),
+        ("1e30D", None),
     ],
 )
 def test_timestamp_sources(spark, value, expected):
