@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from costflow.llm.common import first_per, map_batches, text_of, written
 from costflow.llm.components import components
+from costflow.llm.near_copies import near_copies
 
 SHINGLE_WORDS = 4
 HASH_SEED = 42
@@ -196,6 +197,7 @@ def plan_probes(prints: DataFrame, distance: int) -> list[Part]:
     """
     units = distance + 1
     n, share, correlation = bit_statistics(prints)
+    n = max(n, 1)  # an empty table plans like one print, not for nothing
     groups = group_bits(correlation, _number_of_parts(n, share, correlation, units))
     masks = [signed(sum(1 << b for b in g)) for g in groups]
     buckets = prints.select(F.explode(F.array(*(_bucket(p, m) for p, m in enumerate(masks)))).alias("at"))
@@ -226,9 +228,12 @@ def _members(prints: DataFrame, plan: list[Part]) -> DataFrame:
 
 def _probes(prints: DataFrame, plan: list[Part]) -> DataFrame:
     """(part, value, ...): every bucket within the radius of a print."""
-    steps = [F.struct(F.lit(p).alias("part"), F.lit(x.mask).alias("mask"), F.lit(f).alias("flip")) for p, x in enumerate(plan) for f in x.flips()]
-    value = F.col("print").bitwiseAND(F.col("step.mask")).bitwiseXOR(F.col("step.flip")).alias("value")
-    return prints.select("*", F.explode(F.array(*steps)).alias("step")).select(*prints.columns, "step.part", value)
+    def around(part: int, x: Part) -> Column:
+        own = F.col("print").bitwiseAND(F.lit(x.mask))
+        return F.transform(F.lit(x.flips()), lambda f: F.struct(F.lit(part).alias("part"), own.bitwiseXOR(f.cast("long")).alias("value")))
+
+    at = F.explode(F.concat(*(around(p, x) for p, x in enumerate(plan)))).alias("at")
+    return prints.select("*", at).select(*prints.columns, "at.part", "at.value")
 
 
 def _close(a: str, b: str, distance: int) -> Column:
@@ -301,15 +306,17 @@ def near_duplicates(docs: DataFrame, distance: int = 4) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, distance: int = 4) -> DataFrame:
-    """`docs` with one row per component: that of the smallest doc_id.
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """`docs` with one row per group of near copies: that of the smallest doc_id.
+
+    Groups are those of `near_copies`: five-word shingles, similarity 0.8 or more.
 
     Rows that repeat this doc_id leave one of them. Rows without a doc_id cannot
     be told apart and all stay. Columns and their order stay, whatever their names.
     """
     named = docs.where(docs["doc_id"].isNotNull())
     chosen = written(
-        near_duplicates(named, distance).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")),
+        near_copies(named).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")),
         "chosen",
     )
     repeated = written(chosen.where("n > 1").select("doc_id"), "repeated")

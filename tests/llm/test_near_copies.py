@@ -1,0 +1,65 @@
+"""Near copies against all pairs."""
+
+import numpy as np
+
+from costflow.llm import near_copies as nc
+from costflow.llm import simhash
+from helpers import docs
+
+
+
+
+def groups(texts):
+    root = {i: i for i in texts}
+    ids = sorted(texts)
+    sets = {i: set(nc.shingle_hashes(texts[i])[1].tolist()) for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for k, i in enumerate(ids):
+        for j in ids[:k]:
+            both = len(sets[i] & sets[j])
+            if 10 * both >= 8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in ids}
+
+
+def test_near_copies_against_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    texts = {}
+    for g in range(25):
+        words = rng.choice(vocabulary, 150).tolist()
+        for _ in range(12):
+            copy = list(words)
+            for at in rng.choice(150, rng.integers(0, 6), replace=False):
+                copy[at] = str(rng.choice(vocabulary))
+            texts[len(texts)] = " ".join(copy[: 150 - int(rng.integers(0, 15))])
+    texts |= {len(texts): None, len(texts) + 1: " \n", len(texts) + 2: "a b", len(texts) + 3: "A  b"}
+    expected = groups({i: t or "" for i, t in texts.items()})
+    rows = docs(spark, [*texts.items(), (0, texts[0]), (None, texts[0])])
+    found = {r.doc_id: r.component_id for r in nc.near_copies(rows).collect() if r.doc_id is not None}
+    assert found == expected
+    kept = simhash.one_of_each(rows).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(set(expected.values()))
+
+
+def test_prints_are_sums_of_bits():
+    rows = np.random.default_rng(1).integers(0, 2**63, (100, nc.LANES), dtype=np.uint64)
+    assert nc.bit_sums(rows).tolist() == np.unpackbits(rows.view(np.uint8), axis=1).sum(axis=0).tolist()
+    assert nc.wide_print(np.zeros(0, np.uint64)) == bytes(nc.BITS // 8)
+
+
+def test_plans_keep_the_recall():
+    for n in (1e2, 1e6, 1e10):
+        for width in nc.WIDTHS[:3]:
+            parts, p = nc.BITS // width, 0.5**width
+            costs = np.array([[n + n * n * p, n * (1 + width) + n * n * p * (1 + width)]] * parts)
+            gains = [-np.log(1 - nc.found_at(width, r)) for r in (0, 1)]
+            cost, radii = nc.allocate(costs, gains, -np.log(nc.MAX_MISS))
+            assert cost == float("inf") or nc.Plan(width, radii).miss <= nc.MAX_MISS
+    assert nc.allocate(np.array([[5.0, 9.0], [1.0, 2.0]]), [1.0, 2.0], 2.0)[1] == (-1, 1)
