@@ -504,6 +504,22 @@ def file_inventory_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered("""
+SELECT lang AS folder, true AS has_files, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS total_bytes
+FROM documents GROUP BY lang""")
+def file_bytes_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact bytes per folder of plain text files, from their attributes alone."""
+    path = scratch_dir(spark, "text_by_lang")
+    texts = table(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("value"), "lang")
+    texts.write.partitionBy("lang").option("compression", "none").text(path)
+    folder = F.regexp_extract("path", "lang=([^/]+)/", 1)
+    return (
+        file_attributes(spark, path, suffix=".txt")
+        .groupBy(folder.alias("folder"))
+        .agg((F.count("*") > 0).alias("has_files"), F.sum("length").alias("total_bytes"))
+    )
+
+
 @registered("""
 WITH sizes AS (
   SELECT CAST(floor(l_extendedprice) AS BIGINT) * CAST(pow(100, l_linenumber - 1) AS BIGINT) AS n
