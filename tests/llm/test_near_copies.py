@@ -63,3 +63,39 @@ def test_plans_keep_the_recall():
             cost, radii = nc.allocate(costs, gains, -np.log(nc.MAX_MISS))
             assert cost == float("inf") or nc.Plan(width, radii).miss <= nc.MAX_MISS
     assert nc.allocate(np.array([[5.0, 9.0], [1.0, 2.0]]), [1.0, 2.0], 2.0)[1] == (-1, 1)
+
+
+def test_isolated_pairs_at_the_threshold_are_all_found(spark):
+    # Shingle sets of 0.80 to 0.82: the second text lacks words of the first, or has others at its end.
+    texts, pairs = {}, []
+
+    def add(k, n, kept, others=0):
+        words = [f"p{k}n{n}w{j}" for j in range(n)]
+        i = len(texts)
+        texts.update({i: " ".join(words), i + 1: " ".join(words[:kept] + [f"{w}x" for w in words[:others]])})
+        pairs.append(i)
+
+    for k in range(1500):
+        add(k, 9, 8)  # 4 of 5 shingles
+        if k < 400:
+            add(k, 19, 16)  # 12 of 15
+            add(k, 22, 20, 2)  # 16 of 20
+        if k < 60:
+            add(k, 104, 84)  # 80 of 100
+            add(k, 544, 484, 60)  # 480 of 600
+    rows = docs(spark, list(texts.items()))
+    found = {r.doc_id: r.component_id for r in nc.near_copies(rows).collect()}
+    assert [i for i in pairs if found[i + 1] != found[i]] == []
+    assert len(set(found.values())) == len(pairs)
+
+
+def test_rare_shingles_are_shared_in_any_order():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        union = rng.choice(10**6, int(rng.integers(1, 80)), replace=False).astype(np.uint64) * nc.STEPS[0]
+        both = -(-8 * len(union) // 10)
+        cut = int(rng.integers(both, len(union) + 1))
+        a, b = np.sort(union[:cut]), np.sort(np.concatenate([union[:both], union[cut:]]))
+        counts = rng.integers(1, 4, 1 << nc.COUNT_BITS).astype(np.float32)
+        assert set(nc.rare_shingles(a, counts).tolist()) & set(nc.rare_shingles(b, counts).tolist())
+    assert len(nc.rare_shingles(np.zeros(0, np.uint64), counts)) == 0
