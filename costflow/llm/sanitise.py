@@ -29,9 +29,8 @@ VALID = {
     "phone": lambda m: F.length(_digits(m)).between(8, 15),
 }
 
-#: Terms: letters, so many at least; looked for so many code points around a base span.
+#: Terms: letters, so many at least; looked for in the whole of a text with base spans.
 TERM = r"\p{L}{4,}"
-CONTEXT = 40
 #: A term needs so many documents with the entity; share of the entity's information it may disclose.
 MIN_SUPPORT = 2
 GENERALISE, REMOVE = 0.5, 0.9
@@ -123,69 +122,75 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], plain)
 
 
-def contexts(spans: DataFrame) -> DataFrame:
-    """(doc_id, mark, entity, term, start, end): terms near a base span, none inside one, none cut by the window."""
-    each = spans.select("doc_id", "mark", "text", "base", F.explode("base").alias("span"))
-    low = F.greatest(F.col("span.start") - CONTEXT, F.lit(0))
-    each = each.select(
-        "doc_id", "mark", "base", _entity(F.col("span")).alias("entity"), low.alias("low"), F.length("text").alias("size"),
-        F.least(F.col("span.end") + CONTEXT, F.length("text")).alias("high"),
-        F.substring("text", low + 1, F.col("span.end") + CONTEXT - low).alias("window"),
-    )
-    each = each.withColumn("found", located(F.col("window"), matches(F.col("window"), TERM), TERM, F.col("low")))
-    each = each.select("doc_id", "mark", "base", "entity", "low", "high", "size", F.explode("found").alias("t"))
-    whole = ((F.col("t.start") > F.col("low")) | (F.col("low") == 0)) & ((F.col("t.end") < F.col("high")) | (F.col("high") == F.col("size")))
-    apart = ~F.exists("base", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start")))
-    return each.where(whole & apart).select("doc_id", "mark", "entity", F.lower("t.value").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
+def holders(spans: DataFrame) -> DataFrame:
+    """(mark, copies, entities, terms): each text with base spans once, its entities, and its terms outside of base spans.
 
+    `terms` is array<struct<start, end, value>>, the value in lower case.
+    """
+    texts = spans.where(F.size("base") > 0).groupBy("mark").agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("base").alias("base"))
+    located_terms = located(F.col("text"), matches(F.col("text"), TERM), TERM)
+    apart = F.filter(located_terms, lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"])))
+    lower = F.transform(apart, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lower(t["value"]).alias("value")))
+    return texts.select("mark", "copies", F.array_distinct(F.transform("base", _entity)).alias("entities"), lower.alias("terms"))
 
-def disclosing(near: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, disclosed): terms that give away more than GENERALISE of an entity.
 
-    Pointwise mutual information of term and entity over the entity's information
-    content, from counts of documents; documents with a term are counted over the
-    whole corpus. Documents are rows.
+def together(held: DataFrame, docs: DataFrame) -> DataFrame:
+    """(mark, entity, term, copies, n, n_entity, n_term): entities and terms in one text, with their counts of documents.
+
+    Pairs that cannot disclose GENERALISE, even if all documents of the entity hold
+    the term, are left out: those with n_term ** 2 > n * n_entity. Documents are
+    rows, and those with a term are counted over the whole corpus.
     """
-    text = text_of(docs)
     n = docs.select(F.count("*").alias("n"))  # one row
-    entities = near.select("doc_id", "mark", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = near.select("doc_id", "mark", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_pair"))
-    terms = docs.select(F.explode(F.array_distinct(matches(F.lower(text), TERM))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    joined = pairs.where(F.col("n_pair") >= MIN_SUPPORT).join(entities, "entity").join(terms, "term").join(F.broadcast(n))
+    entities = held.select("mark", "copies", F.explode("entities").alias("entity"))
+    entities = entities.join(entities.groupBy("entity").agg(F.sum("copies").alias("n_entity")), "entity")
+    counts = docs.select(F.explode(F.array_distinct(matches(F.lower(text_of(docs)), TERM))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    terms = held.select("mark", F.explode(F.array_distinct(F.transform("terms", lambda t: t["value"]))).alias("term")).join(counts, "term")
+    return entities.join(terms, "mark").join(F.broadcast(n)).where(F.col("n_term") * F.col("n_term") <= F.col("n") * F.col("n_entity"))
+
+
+def disclosing(pairs: DataFrame) -> DataFrame:
+    """(entity, term, disclosed): terms that give away at least GENERALISE of an entity.
+
+    Pointwise mutual information of term and entity over the entity's information
+    content, from counts of documents.
+    """
+    counted = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_pair"), *(F.max(c).alias(c) for c in ("n", "n_entity", "n_term")))
     content = F.log2(F.col("n") / F.col("n_entity"))
     shared = F.log2(F.col("n_pair") * F.col("n") / (F.col("n_term") * F.col("n_entity")))
-    return joined.select("entity", "term", F.when(content > 0, shared / content).otherwise(0.0).alias("disclosed")).where(F.col("disclosed") >= GENERALISE)
+    told = counted.where(F.col("n_pair") >= MIN_SUPPORT).select("entity", "term", F.when(content > 0, shared / content).otherwise(0.0).alias("disclosed"))
+    return told.where(F.col("disclosed") >= GENERALISE)
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, spans) for each row of `docs` (doc_id, text).
 
     `spans` is array<struct<no, kind, start, end, disclosed>> by kind as in KINDS
-    and then start: the base spans, and near them the terms whose co-occurrence
-    over the corpus gives a protected entity away. Null texts are empty. Rows
-    that repeat doc_id and text share their spans. Other columns are not read. An
-    empty table gives an empty one.
+    and then start: the base spans, and anywhere in the same text the terms whose
+    co-occurrence over the corpus gives a protected entity of it away. Null texts
+    are empty. Rows that repeat a text share their spans. Other columns are not
+    read. An empty table gives an empty one.
     """
     narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
     found = base_spans(narrow)
     plain = F.transform("base", lambda s: F.struct(s["no"], s["kind"], s["start"], s["end"], F.lit(None).cast("double").alias("disclosed")))
     base = written(found.select("doc_id", "mark", plain.alias("base")), "base_spans")
-    near = written(contexts(found.where(F.size("base") > 0)), "contexts")
-    telling = written(disclosing(near, narrow), "disclosing")
+    held = written(holders(found), "holders")
+    pairs = written(together(held, narrow), "pairs")
+    telling = written(disclosing(pairs), "disclosing")
+    told = pairs.join(telling, ["entity", "term"]).groupBy("mark", "term").agg(F.max("disclosed").alias("disclosed"))
+    places = held.select("mark", F.explode("terms").alias("t")).select("mark", F.col("t.value").alias("term"), "t.start", "t.end")
     terms = (
-        near.join(telling, ["entity", "term"])
-        .groupBy("doc_id", "mark", "start", "end")
-        .agg(F.max("disclosed").alias("disclosed"))
-        .groupBy(F.col("doc_id").alias("term_doc"), F.col("mark").alias("term_mark"))
+        places.join(told, ["mark", "term"])
+        .groupBy(F.col("mark").alias("term_mark"))
         .agg(
             F.sort_array(
                 F.collect_list(F.struct(F.lit(len(PATTERNS)).alias("no"), F.lit("term").alias("kind"), "start", "end", "disclosed"))
             ).alias("terms")
         )
     )
-    same = base["doc_id"].eqNullSafe(terms["term_doc"]) & base["mark"].eqNullSafe(terms["term_mark"])
     every = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.concat("base", "terms"))
-    return base.join(terms, same, "left").select("doc_id", "mark", every.alias("spans"))
+    return base.join(terms, base["mark"] == terms["term_mark"], "left").select("doc_id", "mark", every.alias("spans"))
 
 
 def named_spans(spans: Column) -> Column:

@@ -236,6 +236,14 @@ def test_terms_that_only_occur_with_an_entity_are_hidden(spark):
     assert clean[0] == " writes to <EMAIL> about common things" and clean[5] == rows[5][1]
 
 
+def test_terms_are_hidden_in_the_whole_text_of_an_entity(spark):
+    far = "common things happen to everyone who writes about them " * 3
+    rows = [(i, f"Zephyrine Zephyrine {far}z@mail.org {far}zephyrine") for i in range(2)]
+    rows += [(i, far + str(i)) for i in range(2, 40)]
+    clean = {r.doc_id: r.clean_text for r in sanitise.sanitised(docs(spark, rows)).collect()}
+    assert clean[0] == f"  {far}<EMAIL> {far}" and clean[5] == rows[5][1]
+
+
 # -- 6 -------------------------------------------------------------------------
 
 
