@@ -31,8 +31,10 @@ VALID = {
 
 #: Terms: letters, so many at least; looked for in the whole of a text with base spans.
 TERM = r"\p{L}{4,}"
-#: A term needs so many documents with the entity; share of the entity's information it may disclose.
-MIN_SUPPORT = 2
+#: So many documents at the entity's share of the corpus are added to those of a term, which draws
+#: terms of few documents a little towards telling nothing.
+PRIOR = 0.1
+#: Shares of the entity's information that a term may disclose.
 GENERALISE, REMOVE = 0.5, 0.9
 
 
@@ -123,28 +125,30 @@ def _entity(span: Column) -> Column:
 
 
 def holders(spans: DataFrame) -> DataFrame:
-    """(mark, copies, entities, terms): each text with base spans once, its entities, and its terms outside of base spans.
+    """(mark, entities, terms): each text with base spans once, its entities, and its terms outside of base spans.
 
     `terms` is array<struct<start, end, value>>, the value in lower case.
     """
-    texts = spans.where(F.size("base") > 0).groupBy("mark").agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("base").alias("base"))
+    texts = spans.where(F.size("base") > 0).groupBy("mark").agg(F.first("text").alias("text"), F.first("base").alias("base"))
     located_terms = located(F.col("text"), matches(F.col("text"), TERM), TERM)
     apart = F.filter(located_terms, lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"])))
     lower = F.transform(apart, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lower(t["value"]).alias("value")))
-    return texts.select("mark", "copies", F.array_distinct(F.transform("base", _entity)).alias("entities"), lower.alias("terms"))
+    return texts.select("mark", F.array_distinct(F.transform("base", _entity)).alias("entities"), lower.alias("terms"))
 
 
 def together(held: DataFrame, docs: DataFrame) -> DataFrame:
-    """(mark, entity, term, copies, n, n_entity, n_term): entities and terms in one text, with their counts of documents.
+    """(mark, entity, term, n, n_entity, n_term): entities and terms in one text, with their counts of distinct texts.
 
-    Pairs that cannot disclose GENERALISE, even if all documents of the entity hold
-    the term, are left out: those with n_term ** 2 > n * n_entity. Documents are
-    rows, and those with a term are counted over the whole corpus.
+    Pairs that cannot disclose GENERALISE, even if all texts of the entity hold the
+    term, are left out: those with n_term ** 2 > n * n_entity. Copies of a text
+    count once, and texts with a term are counted over the whole corpus.
     """
-    n = docs.select(F.count("*").alias("n"))  # one row
-    entities = held.select("mark", "copies", F.explode("entities").alias("entity"))
-    entities = entities.join(entities.groupBy("entity").agg(F.sum("copies").alias("n_entity")), "entity")
-    counts = docs.select(F.explode(F.array_distinct(matches(F.lower(text_of(docs)), TERM))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    texts = docs.select(F.xxhash64(text_of(docs)).alias("mark"), text_of(docs).alias("text"))
+    n = texts.agg(F.count_distinct("mark").alias("n"))  # one row
+    texts = texts.groupBy("mark").agg(F.first("text").alias("text"))
+    entities = held.select("mark", F.explode("entities").alias("entity"))
+    entities = entities.join(entities.groupBy("entity").agg(F.count("*").alias("n_entity")), "entity")
+    counts = texts.select(F.explode(F.array_distinct(matches(F.lower("text"), TERM))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     terms = held.select("mark", F.explode(F.array_distinct(F.transform("terms", lambda t: t["value"]))).alias("term")).join(counts, "term")
     return entities.join(terms, "mark").join(F.broadcast(n)).where(F.col("n_term") * F.col("n_term") <= F.col("n") * F.col("n_entity"))
 
@@ -153,12 +157,13 @@ def disclosing(pairs: DataFrame) -> DataFrame:
     """(entity, term, disclosed): terms that give away at least GENERALISE of an entity.
 
     Pointwise mutual information of term and entity over the entity's information
-    content, from counts of documents.
+    content, from counts of distinct texts. The entity's share of the texts with
+    the term is smoothed by PRIOR; one text is enough to tell.
     """
-    counted = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_pair"), *(F.max(c).alias(c) for c in ("n", "n_entity", "n_term")))
-    content = F.log2(F.col("n") / F.col("n_entity"))
-    shared = F.log2(F.col("n_pair") * F.col("n") / (F.col("n_term") * F.col("n_entity")))
-    told = counted.where(F.col("n_pair") >= MIN_SUPPORT).select("entity", "term", F.when(content > 0, shared / content).otherwise(0.0).alias("disclosed"))
+    counted = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_pair"), *(F.max(c).alias(c) for c in ("n", "n_entity", "n_term")))
+    share = F.col("n_entity") / F.col("n")
+    given = (F.col("n_pair") + PRIOR * share) / (F.col("n_term") + PRIOR)
+    told = counted.select("entity", "term", F.when(share < 1, F.log2(given / share) / -F.log2(share)).otherwise(0.0).alias("disclosed"))
     return told.where(F.col("disclosed") >= GENERALISE)
 
 

@@ -244,6 +244,42 @@ def test_terms_are_hidden_in_the_whole_text_of_an_entity(spark):
     assert clean[0] == f"  {far}<EMAIL> {far}" and clean[5] == rows[5][1]
 
 
+def plain_terms(said):
+    """{text: [(start, end, disclosed)]} by plain counting over distinct texts."""
+    texts = set(said)
+    held, words, where = {}, {}, {}
+    for text in texts:
+        base = plain_spans(text)
+        held[text] = {(k, text[a:b].lower()) for k, a, b in base}
+        places = [(m.start(), m.end(), m[0].lower()) for m in re.finditer("[A-Za-zé]{4,}", text)]
+        words[text] = {w for _, _, w in places}
+        where[text] = [(a, b, w) for a, b, w in places if not any(x < b and y > a for _, x, y in base)]
+    n, n_term = len(texts), Counter(w for t in texts for w in words[t])
+    n_entity = Counter(e for t in texts for e in held[t])
+    n_pair = Counter((e, w) for t in texts for e in held[t] for w in {w for _, _, w in where[t]})
+
+    def disclosed(e, w):
+        p = n_entity[e] / n
+        return 0.0 if p == 1 else np.log2((n_pair[e, w] + sanitise.PRIOR * p) / (n_term[w] + sanitise.PRIOR) / p) / -np.log2(p)
+
+    told = {t: [(a, b, max((disclosed(e, w) for e in held[t]), default=0.0)) for a, b, w in where[t]] for t in texts}
+    return {t: sorted(x for x in told[t] if x[2] >= sanitise.GENERALISE) for t in texts}
+
+
+def test_terms_against_plain_counting(spark):
+    rng = np.random.default_rng(8)
+    pieces = [*(f"{a}{b}word" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"), *["the", "common", "Common", "things"] * 12, *(f"q{k}@b.cd" for k in range(20)), "9.8.7.6", "x.name@mail.org"]
+    said = [" ".join(rng.choice(pieces, rng.integers(1, 60))) for _ in range(150)]
+    said += [said[0]] * 5 + ["Solitary Quixote is at once@only.org", "é nothing here"]
+    expected = plain_terms(said)
+    assert sum(map(len, expected.values())) > 20
+    for row in sanitise.find_spans(docs(spark, list(enumerate(said)))).collect():
+        found = [(s.start, s.end, s.disclosed) for s in row.spans if s.kind == "term"]
+        assert [x[:2] for x in found] == [x[:2] for x in expected[said[row.doc_id]]], said[row.doc_id]
+        assert np.allclose([x[2] for x in found], [x[2] for x in expected[said[row.doc_id]]])
+    assert any(a == 0 for a, _, _ in expected[said[-2]])
+
+
 # -- 6 -------------------------------------------------------------------------
 
 
