@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costflow.llm import chat, chunking, line_dedup, mixing, neighbours, packing, quality_rules, sanitise, simhash, warc
+from costflow.llm import chat, chunking, fill_in_middle, line_dedup, mixing, neighbours, packing, quality_rules, sanitise, simhash, warc
 from costflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,3 +218,29 @@ FROM measures m LEFT JOIN limits l ON m.lang IS NOT DISTINCT FROM l.lang AND m.s
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+# -- 11, fill in the middle ----------------------------------------------------
+
+
+@registered(r"""
+WITH cut AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT doc_id, t, n, [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) for k in range(0, 4)] AS h FROM cut),
+placed AS (SELECT doc_id, t, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+       WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+pieces AS (SELECT *, '<P>' || substr(t, 1, a) AS p, '<M>' || substr(t, a + 1, b - a) AS m, '<S>' || substr(t, b + 1) AS s FROM placed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN p || s || m ELSE s || p || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM pieces""")
+def op11_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.restored(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
