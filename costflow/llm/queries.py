@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costflow.llm import chat, chunking, fill_in_middle, line_dedup, mixing, neighbours, packing, quality_rules, sanitise, simhash, warc
+from costflow.llm import chat, chunking, conversation_repair, fill_in_middle, line_dedup, mixing, neighbours, packing, quality_rules, sanitise, simhash, warc
 from costflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,3 +244,67 @@ def op11_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2("restored", 256).alias("restored_sha256"),
     )
+
+
+# -- 13, conversation repair ---------------------------------------------------
+
+_CRC_STEP = "xor(xor(c, b) >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)"
+#: Bit by bit: each byte of the text followed by seven zeros, as one list.
+_CRC_SQL = f"""xor(list_reduce(list_concat([4294967295], flatten([[CAST(ord(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]
+    for x in string_split(key, '')])), lambda c, b: {_CRC_STEP}), 4294967295)"""
+_SAID = f"rtrim(text, {SPACE_CHARS})"
+#: What a role may follow: state (the initial that stands last, or nothing), letter and role given, and next state.
+_MOVES = "('', 'u', 'user'), ('s', 'u', 'user'), ('u', 'a', 'assistant'), ('a', 'u', 'user')"
+_KEEPS = "(state IN ('', 's', 'a') AND initial = 'u') OR (state = '' AND initial = 's') OR (state = 'u' AND initial = 'a')"
+
+
+def _inserted(given: str) -> str:
+    """`given` (state, cost, audit, out) with no, one or two turns inserted, the best plan per state."""
+    more = lambda t: f"SELECT s.conv_id, m.next AS state, s.cost + 3 AS cost, s.audit || 'I' AS audit, list_append(s.out, m.role || ':') AS out FROM {t} s JOIN moves m ON s.state = m.state"
+    return f"""(WITH g AS ({given}), one AS ({more("g")}), two AS ({more("one")})
+    SELECT conv_id, state, unnest(min(struct_pack(cost := cost, audit := audit, out := out))) FROM (FROM g UNION ALL FROM one UNION ALL FROM two) GROUP BY conv_id, state)"""
+
+
+@registered(f"""
+WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+kinds AS (SELECT *, {_CRC_SQL} % 20 AS kind FROM keyed),
+changed AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS time FROM kinds),
+rows AS (SELECT conv_id, turn, role, text, substr(role, 1, 1) AS initial,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, time) AS pos,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, time) AS seen FROM changed),
+faulty AS (SELECT *, {_SAID} = '' AS blank, {_SAID} <> '' AND seen > 1 AS duplicate,
+  {_SAID} <> '' AND seen = 1 AND right({_SAID}, 1) NOT IN ('.', '!', '?') AS truncated,
+  lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial NOT IN ('su', 'ua', 'au') AS illegal FROM rows),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+  count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE truncated) AS truncated,
+  count(*) FILTER (WHERE illegal) AS illegal, max(pos) AS last FROM faulty GROUP BY conv_id),
+moves(state, next, role) AS (VALUES {_MOVES}),
+plans(conv_id, pos, state, cost, audit, out) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), state, cost, audit, out FROM {_inserted("SELECT DISTINCT conv_id, '' AS state, 0 AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS out FROM rows")}
+  UNION ALL
+  SELECT conv_id, pos, state, cost, audit, out FROM (SELECT * FROM (
+    WITH step AS (SELECT p.*, f.role, f.text, f.initial, f.blank OR f.duplicate AS lost, CASE WHEN f.truncated THEN 3 ELSE 0 END AS extra
+      FROM plans p JOIN faulty f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.pos = p.pos + 1),
+    done AS (SELECT conv_id, pos + 1 AS pos, state, cost + 4 AS cost, audit || 'D' AS audit, out FROM step
+      UNION ALL SELECT conv_id, pos + 1, initial, cost + extra, audit || 'K', list_append(out, role || ':' || text) FROM step WHERE NOT lost AND ({_KEEPS})
+      UNION ALL SELECT conv_id, pos + 1, m.next, cost + 3 + extra, audit || 'R', list_append(out, m.role || ':' || text)
+        FROM step s JOIN moves m ON s.state = m.state WHERE NOT lost),
+    one AS (SELECT s.conv_id, pos, m.next AS state, cost + 3 AS cost, audit || 'I' AS audit, list_append(out, m.role || ':') AS out FROM done s JOIN moves m ON s.state = m.state),
+    two AS (SELECT s.conv_id, pos, m.next AS state, cost + 3 AS cost, audit || 'I' AS audit, list_append(out, m.role || ':') AS out FROM one s JOIN moves m ON s.state = m.state)
+    SELECT conv_id, pos, state, unnest(min(struct_pack(cost := cost, audit := audit, out := out)))
+    FROM (FROM done UNION ALL FROM one UNION ALL FROM two) GROUP BY conv_id, pos, state))),
+best AS (SELECT c.conv_id, min(struct_pack(cost := p.cost, audit := p.audit, out := p.out)) AS b FROM counted c
+  JOIN plans p ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND p.pos = c.last AND p.state IN ('', 'a') GROUP BY c.conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.cost, 0) AS BIGINT) AS cost,
+  coalesce(b.audit, '') AS audit, sha256(coalesce(array_to_string(b.out, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN counted c ON i.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best ON i.conv_id IS NOT DISTINCT FROM best.conv_id""")
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    mended = conversation_repair.repair(turns, gone="gone")
+    digest = F.sha2(conversation_repair.repaired_text(F.col("repaired")), 256).alias("repaired_sha256")
+    return mended.select("conv_id", *conversation_repair.NUMBERS, "audit", digest)
