@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,28 @@ def map_batches(
     return df.mapInArrow(function, schema)
 
 
+def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts one after the other, and where each begins (one more: the end); no text is null."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def byte_slices(batch: pa.RecordBatch, texts: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Row ranges of a batch whose texts have about `most` bytes, or one row of more."""
+    if not batch.num_rows:
+        return
+    column = batch.column(texts)
+    offsets = np.frombuffer(column.buffers()[1], np.int32, batch.num_rows + 1, column.offset * 4)
+    at = 0
+    while at < batch.num_rows:
+        past = int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1
+        past = min(max(past, at + 1), batch.num_rows)
+        yield batch.slice(at, past - at)
+        at = past
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text as string, null as empty."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from costflow.llm.common import map_batches, text_of
+from costflow.llm.common import buffer_of, byte_slices, map_batches, text_of
 
 # Fixed values of the contract: what stands before prefix, suffix and middle.
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
@@ -50,14 +50,6 @@ def draws(ids: list[int | None], seed: str) -> np.ndarray:
 # -- buffers of many texts -----------------------------------------------------
 
 
-def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts one after the other, and where each begins (one more: the end)."""
-    offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
-    data = texts.buffers()[2]
-    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
 def texts_of(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     """`buffer_of` the other way round."""
     return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
@@ -167,21 +159,10 @@ def restore(outputs: pa.Array, form: np.ndarray) -> pa.Array:
 # -- on Spark ------------------------------------------------------------------
 
 
-def _slices(batch: pa.RecordBatch, texts: int) -> Iterator[pa.RecordBatch]:
-    """Row ranges of about SLICE_BYTES, so that the index arrays of a batch stay small."""
-    offsets = np.frombuffer(batch.column(texts).buffers()[1], np.int32, batch.num_rows + 1, batch.column(texts).offset * 4)
-    at = 0
-    while at < batch.num_rows:
-        past = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
-        past = min(max(past, at + 1), batch.num_rows)
-        yield batch.slice(at, past - at)
-        at = past
-
-
 def _transform_task(rates: Rates):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in _slices(whole, 1):
+            for part in byte_slices(whole, "text", SLICE_BYTES):
                 cut = transform(part.column(1), draws(part.column(0).to_pylist(), rates.seed), rates)
                 plain = cut.form == PLAIN
                 yield pa.RecordBatch.from_arrays(
@@ -220,7 +201,7 @@ def fill_in_middle(docs: DataFrame, rates: Rates = Rates()) -> DataFrame:
 def _restore_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         names = whole.schema.names
-        for part in _slices(whole, names.index("output")):
+        for part in byte_slices(whole, "output", SLICE_BYTES):
             form = np.array([FORMS.index(f) for f in part.column("form").to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays([*part.columns, restore(part.column("output"), form)], [*names, "restored"])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costflow.llm import chat, chunking, conversation_repair, fill_in_middle, line_dedup, mixing, neighbours, packing, quality_rules, sanitise, simhash, warc
+from costflow.llm import chat, chunking, conversation_repair, decontamination, fill_in_middle, line_dedup, mixing, neighbours, packing, quality_rules, sanitise, simhash, warc
 from costflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +246,38 @@ def op11_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# -- 12, benchmark decontamination ---------------------------------------------
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@registered(f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS words FROM documents),
+items AS (SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS name, {_TERMS} AS words FROM benchmark),
+sized AS (SELECT name, words, least({decontamination.WINDOW}, len(words)) AS w FROM items WHERE len(words) > 0),
+windows AS (SELECT DISTINCT name, w, array_to_string(words[i:i + w - 1], ' ') AS said
+  FROM (SELECT *, unnest(range(1, len(words) - w + 2)) AS i FROM sized)),
+places AS (SELECT rid, i, w, array_to_string(words[i:i + w - 1], ' ') AS said
+  FROM (SELECT rid, words, w, unnest(range(1, len(words) - w + 2)) AS i FROM docs, (SELECT DISTINCT w FROM sized) WHERE len(words) >= w)),
+found AS (SELECT rid, i, p.w, name FROM places p JOIN windows USING (w, said)),
+hits AS (SELECT rid, count(DISTINCT pos) AS n FROM (SELECT rid, unnest(range(i, i + w)) AS pos FROM found) GROUP BY rid),
+named AS (SELECT rid, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT rid, name FROM found) GROUP BY rid)
+SELECT doc_id, len(words) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (rid) LEFT JOIN named USING (rid)""")
+def op12_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.sort_array(F.array_distinct(F.transform("items", lambda i: i["item_id"])))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(names).cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 # -- 13, conversation repair ---------------------------------------------------
 
 _CRC_STEP = "xor(xor(c, b) >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)"
