@@ -118,7 +118,7 @@ def drop_shared_lines(
     )
     whole = F.struct(*(docs[c] for c in docs.columns)).alias("row")
     rows = docs.select(whole, docs["doc_id"].cast("long").alias("id"), text_of(docs).alias("text"))
-    joined = rows.join(drops.hint("shuffle_hash"), rows["id"].eqNullSafe(drops["drop_id"]), "left").select("row", "text", "drop")
+    joined = rows.join(drops, rows["id"].eqNullSafe(drops["drop_id"]), "left").select("row", "text", "drop")
     kind = joined.schema["row"].dataType.simpleString()
     schema = f"row {kind}, kept_text string, n_lines long, n_dropped long"
     return map_batches(joined, _reassemble(min_chars), schema)

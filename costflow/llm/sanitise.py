@@ -211,7 +211,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     """
     spans = written(find_spans(docs).dropDuplicates(["doc_id", "mark"]), "spans").withColumnsRenamed({"doc_id": "span_doc", "mark": "span_mark"})
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text")).withColumn("mark", F.xxhash64("text"))
-    joined = rows.join(spans.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(spans["span_doc"]) & (rows["mark"] == spans["span_mark"]))
+    joined = rows.join(spans, rows["doc_id"].eqNullSafe(spans["span_doc"]) & (rows["mark"] == spans["span_mark"]))
     word = lambda s: F.when((s["kind"] == "term") & (s["disclosed"] >= REMOVE), "").otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
     ordered = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), word(s).alias("word"))))
     walk = F.aggregate(

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from costflow.llm.common import first_per, map_batches, text_of, written
 from costflow.llm.components import components
-from costflow.llm.near_copies import near_copies
 
 SHINGLE_WORDS = 4
 HASH_SEED = 42
@@ -306,21 +305,21 @@ def near_duplicates(docs: DataFrame, distance: int = 4) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, distance: int = 4) -> DataFrame:
     """`docs` with one row per group of near copies: that of the smallest doc_id.
 
-    Groups are those of `near_copies`: five-word shingles, similarity 0.8 or more.
+    Groups are those of `near_duplicates`: shingles of four words, `distance` or fewer differing bits.
 
     Rows that repeat this doc_id leave one of them. Rows without a doc_id cannot
     be told apart and all stay. Columns and their order stay, whatever their names.
     """
     named = docs.where(docs["doc_id"].isNotNull())
     chosen = written(
-        near_copies(named).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")),
+        near_duplicates(named, distance).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")),
         "chosen",
     )
     repeated = written(chosen.where("n > 1").select("doc_id"), "repeated")
-    once = named.join(chosen.where("n = 1").select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
+    once = named.join(chosen.where("n = 1").select("doc_id"), "doc_id", "left_semi")
     first = first_per(named.join(repeated, "doc_id", "left_semi"), "doc_id")
     unnamed = docs.where(docs["doc_id"].isNull())
     return once.select(*docs.columns).unionByName(first.select(*docs.columns)).unionByName(unnamed)
