@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from contextlib import contextmanager, nullcontext
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from costflow.operators.catalog import TargetSchema
 from costflow.operators.conform import conform, conform_items
@@ -37,11 +38,16 @@ def standardize(
     just those a consumer asks for and filters on them reach it.
     Without a target the cast step is left out. `policies` go to `conform`.
     """
-    lower = project(df, lowercase_nested_items(df.schema, shallow=COST_STRUCTS))
-    flat = LAYOUTS[layout](lower, deep=True)
+    flat = flattened(df, layout)
     return flat if target is None else conform(flat, target, **policies)
 
 
+def flattened(df: DataFrame, layout: str = "append") -> DataFrame:
+    """`standardize` without its cast step: lower-case names and flat cost structs."""
+    lower = project(df, lowercase_nested_items(df.schema, shallow=COST_STRUCTS))
+    return LAYOUTS[layout](lower, deep=True)
+
+
 def load_replace(
     spark: SparkSession,
     source: str | DataFrame,
@@ -57,7 +63,7 @@ def load_replace(
     """
     with _logged(log) as (mark, timed):
         with timed("read"):
-            raw = _opened(spark, source)
+            raw = opened(spark, source)
         mark("source_opened", column_count=len(raw.columns))
         with timed("standardize"):
             out = standardize(raw, target, **policies)
@@ -93,7 +99,7 @@ def load_replace_sql(
     with _logged(log) as (mark, timed):
         try:
             with timed("read"):
-                raw = _opened(spark, source)
+                raw = opened(spark, source)
                 raw.createOrReplaceTempView(views[0])
             mark("source_opened", column_count=len(raw.columns))
             with timed("standardize"):
@@ -120,26 +126,70 @@ def load_periods(
     log: RunLog | None = None,
     **policies,
 ) -> DataFrame:
-    """Load `(path, first date, date past the last)` periods one after the other.
+    """Load `(path, first date, date past the last)` periods in one job: one scan, one write.
 
+    The path of its file tells the period of a row, whose date must lie in it.
     `mode="replace"` may be repeated safely, `mode="append"` adds rows each time.
-    Columns that some periods lack become nulls with `missing="fill"`.
+    Columns that some periods lack become nulls there. With a log, the rows of each
+    period are counted in the same pass.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
+    periods = list(periods)
+    if not periods:
+        raise ValueError("no periods given")
+    if not _apart(periods):
+        for period in periods:
+            table = load_periods(spark, [period], target, sink, mode, log, **policies)
+        return table
     with _logged(log) as (mark, timed):
-        for path, first, past in periods:
-            with timed(f"period_{first}"):
-                out = standardize(scan_recursive(spark, path), target, **policies)
+        with timed("periods"):
+            out = standardize(scan_recursive(spark, *(path for path, _, _ in periods)), target, **policies)
+            dated = sink.partition_of(out)
+            rows = Observation()
+            if dated:
+                day = F.col(quote(dated)).cast("date")
+                number = _period_of(day, periods)
                 if mode == "replace":
-                    sink.replace_period(out, first, past)
-                else:
-                    sink.create_or_append(out)
-            mark(f"period_{first}", path, column_count=len(out.columns))
+                    out = out.withColumn(dated, _at_home(day, number, periods))
+                counts = [F.count_if(number == n).alias(f"rows_{n}") for n in range(len(periods))]
+                out = out.observe(rows, *counts) if log else out
+            if mode == "replace":
+                sink.replace_periods(out, [(first, past) for _, first, past in periods])
+            else:
+                sink.create_or_append(out)
+        if log:
+            found = rows.get if dated else {}
+            for n, (path, first, _) in enumerate(periods):
+                mark(f"period_{first}", path, found.get(f"rows_{n}"), len(out.columns))
     return spark.table(sink.table)
 
 
-def _opened(spark: SparkSession, source: str | DataFrame) -> DataFrame:
+def _apart(periods: Sequence[tuple[str, date, date]]) -> bool:
+    """Whether the periods share no date and their paths are plain, so that a row's date tells its path."""
+    dates = sorted((first, past) for _, first, past in periods)
+    plain = len(periods) == 1 or not any(set("*?{[") & set(path) for path, _, _ in periods)
+    return plain and all(past <= first for (_, past), (first, _) in zip(dates, dates[1:]))
+
+
+def _period_of(day: Column, periods: Sequence[tuple[str, date, date]]) -> Column:
+    """The number of the period that holds the date, or null."""
+    return F.coalesce(*(F.when((day >= F.lit(first)) & (day < F.lit(past)), F.lit(n)) for n, (_, first, past) in enumerate(periods)))
+
+
+def _at_home(day: Column, number: Column, periods: Sequence[tuple[str, date, date]]) -> Column:
+    """The date; a row whose file does not lie below the path of its date's period fails the job."""
+    good = number.isNotNull()
+    if len(periods) > 1:
+        # Paths may be written with or without a scheme; what follows it is compared.
+        place = F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z0-9]+:/*", "/")
+        folders = F.array(*(F.lit(f"/{path.split(':', 1)[-1].strip('/')}/") for path, _, _ in periods))
+        good = good & F.contains(place, F.element_at(folders, number + 1))
+    message = F.format_string("partition date %s is outside the period of its file %s", day.cast("string"), F.col("_metadata.file_path"))
+    return F.when(good, day).otherwise(F.raise_error(message).cast("date"))
+
+
+def opened(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return scan_recursive(spark, source) if isinstance(source, str) else source
 
 

@@ -7,14 +7,17 @@ operations are composed from what the session catalog offers.
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from costflow.operators.distribute import distribute_sorted
 from costflow.operators.layout import partition_last_items
@@ -45,6 +48,15 @@ APPEND_PROPERTIES = {
 
 # Added to a table's name while its replacement takes its place.
 ASIDE = "__aside"
+# Added to a versioned table's name, before a number that grows with time.
+VERSION = "__v_"
+#: Partition column behind the date that names the batch of rows loaded by `replace_batch`.
+BATCH = "load_batch"
+#: The property that the built-in backend heeds for the size of files.
+FILE_SIZE = "write.target-file-size-bytes"
+CODEC = "write.parquet.compression-codec"
+
+Period = tuple[date, date]
 
 
 @dataclass(frozen=True)
@@ -58,6 +70,13 @@ class TableSink:
     date does not end up as one small file per task; turn it off for input that
     is already laid out by date. On the v2 backend the table's own distribution
     mode does this.
+
+    With `versioned`, the name is a view on the version of the table in use. A
+    replacement is one statement that moves the view, so readers never miss the
+    table, and those at work keep the version they began with until `purge`.
+
+    `properties` are those of the table. The built-in backend heeds the codec
+    (over `options`) and, in `compact`, the file size.
     """
 
     table: str
@@ -66,24 +85,43 @@ class TableSink:
     fmt: str = "parquet"
     cluster: bool = True
     properties: Mapping[str, str] | None = None
+    versioned: bool = False
     options: Mapping[str, str] = field(default_factory=lambda: {"compression": "zstd"})
 
     # -- whole table ---------------------------------------------------------
 
-    def replace(self, df: DataFrame) -> None:
-        """Replace schema and data of the table, or create it."""
-        df = self._prepared(df)
+    def replace(self, df: DataFrame, accept: Callable[[DataFrame], None] | None = None) -> None:
+        """Replace schema and data of the table, or create it.
+
+        `accept` sees the new table when it is written and before it takes its
+        place; an exception of it leaves the old one. The v2 backend commits in one
+        step and calls it afterwards.
+        """
+        spark, df = df.sparkSession, self._prepared(df)
         if self.fmt == "iceberg":
             self._v2_writer(df, REPLACE_PROPERTIES).createOrReplace()
+            if accept:
+                accept(spark.table(self.table))
             return
-        staged = self._staged_name()
+        staged = self.staged_name()
         self._new_v1_writer(df).saveAsTable(staged)
-        self._swap_in(df.sparkSession, staged)
+        self.publish(spark, staged, accept)
+
+    def publish(self, spark: SparkSession, staged: str, accept: Callable[[DataFrame], None] | None = None) -> None:
+        """Put a table that is written whole in the place of the present one, unless `accept` raises."""
+        if accept:
+            try:
+                accept(spark.table(staged))
+            except Exception:
+                spark.sql(f"DROP TABLE {staged}")
+                raise
+        self._describe(spark, staged)
+        self._show(spark, staged) if self.versioned else self._swap_in(spark, staged)
 
     def replace_from_view(self, spark: SparkSession, view: str) -> None:
         """`replace` as one SQL statement that selects from a view."""
         source = spark.table(view)
-        partition = self._partition_of(source)
+        partition = self.partition_of(source)
         relation = quote(view)
         if partition and self.cluster and self.fmt != "iceberg":
             hint = f"/*+ REBALANCE({quote(partition)}) */"
@@ -100,13 +138,13 @@ class TableSink:
                 f"TBLPROPERTIES ({_pairs(properties)}) AS {query}"
             )
             return
-        staged = self._staged_name()
-        place = literal(self._fresh_folder(spark))
+        staged = self.staged_name()
+        place = literal(self.fresh_folder(spark))
         spark.sql(
-            f"CREATE TABLE {staged} USING {self.fmt} OPTIONS ({_pairs(self.options)}) "
+            f"CREATE TABLE {staged} USING {self.fmt} OPTIONS ({_pairs(self.write_options())}) "
             f"{by} LOCATION {place} AS {query}"
         )
-        self._swap_in(spark, staged)
+        self.publish(spark, staged)
 
     # -- period by period ----------------------------------------------------
 
@@ -119,9 +157,9 @@ class TableSink:
             writer.append() if exists else writer.create()
         elif exists:
             self._require_columns(df)
-            self._v1_writer(df).mode("append").saveAsTable(self.table)
+            self._v1_writer(df).mode("append").saveAsTable(self.current(spark))
         else:
-            self._new_v1_writer(df).saveAsTable(self.table)
+            self._create(df)
 
     def replace_period(self, df: DataFrame, first: date, past: date) -> None:
         """Make `df` the table's only rows with `first <= partition date < past`.
@@ -129,41 +167,153 @@ class TableSink:
         Running the same period again changes nothing. Rows outside the period
         fail the job: they would wipe out a date that belongs to another load.
         """
+        self.replace_periods(df, [(first, past)])
+
+    def replace_periods(self, df: DataFrame, periods: Sequence[Period]) -> None:
+        """`replace_period` for several periods at once: one pass over `df`, one overwrite.
+
+        The dates that were loaded are observed in the pass that writes; those of
+        the periods that the table had and the load has not become empty.
+        """
         spark = df.sparkSession
-        if self._partition_of(df) is None:
-            raise ValueError(f"replace_period needs the column {self.partition_col!r}")
-        inside = self._inside(df, first, past)
-        df = self._prepared(inside)
+        if self.partition_of(df) is None:
+            raise ValueError(f"replace_periods needs the column {self.partition_col!r}")
+        day = F.col(quote(self.partition_col))
+        inside = _any_of(day.cast("date"), periods)
+        message = F.format_string(f"partition date %s is outside {_shown(periods)}", day.cast("string"))
+        df = df.withColumn(self.partition_col, F.when(inside, day.cast("date")).otherwise(F.raise_error(message).cast("date")))
         if not table_exists(spark, self.table):
             self.create_or_append(df)
             return
         if self.fmt == "iceberg":
-            day = F.col(quote(self.partition_col))
-            self._v2_writer(df, APPEND_PROPERTIES).overwrite(
-                (day >= F.lit(first)) & (day < F.lit(past))
-            )
+            self._v2_writer(self._prepared(df), APPEND_PROPERTIES).overwrite(_any_of(day, periods))
             return
+        before = self._dates(spark, periods)
+        loaded = Observation()
+        df = df.observe(loaded, F.collect_set(day).alias("days"))
         self._require_columns(df)
-        before = self._dates(spark, first, past)
-        ordered = df.select(*(quote(c) for c in spark.table(self.table).columns))
-        # insertInto heeds the session setting only, not the writer option.
-        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            ordered.write.mode("overwrite").insertInto(self.table)
+        self._overwrite(self._prepared(df))
+        # At most one date per day of the periods, like the partitions listed before.
+        for gone in sorted(before - set(loaded.get["days"])):
+            self._empty(spark, f"{quote(self.partition_col)} = DATE'{gone}'")
+
+    # -- batch by batch ------------------------------------------------------
+
+    def replace_batch(self, df: DataFrame, batch: str) -> None:
+        """Make `df` the table's only rows of `batch`; the same batch again changes nothing.
+
+        The batch is a partition column behind the date, so a batch that was cut
+        off in the middle, or comes again with other rows, replaces just its own.
+        Columns that the table lacks are added to it, those that the data lacks
+        are null, and a column of another type is refused by name.
+        """
+        spark = df.sparkSession
+        df = self._prepared(df).withColumn(BATCH, F.lit(batch))
+        if not table_exists(spark, self.table):
+            self._create(df)
+            return
+        df = self._aligned(df)
+        if self.fmt == "iceberg":
+            self._v2_writer(df, APPEND_PROPERTIES).overwrite(F.col(BATCH) == batch)
+            return
+        before = set(self._parts_of(spark, batch))
+        self._overwrite(df)
         if before:
-            # Dates the earlier load had and this one has not. At most one row
-            # per day of the period comes back, from a scan of one column.
-            days = inside.select(quote(self.partition_col)).distinct()
-            loaded = {row[0] for row in days.collect()}
-            for day in sorted(before - loaded):
-                self._empty_date(spark, day)
+            kept = spark.table(self.current(spark)).where(F.col(BATCH) == batch).select(*self._partitions_of(df)).distinct()
+            for spec in before - {tuple(row) for row in kept.collect()}:
+                named = zip(self._partitions_of(df), spec, strict=True)
+                self._empty(spark, ", ".join(f"{quote(c)} = {literal(str(v))}" for c, v in named))
+
+    def batches(self, spark: SparkSession) -> DataFrame:
+        """(load_batch, partition date) of every batch in the table, from its partitions alone."""
+        listed = spark.sql(f"SHOW PARTITIONS {self.current(spark)}")
+        part = lambda name: F.regexp_extract("partition", f"(?:^|/){name}=([^/]*)", 1)
+        return listed.select(part(BATCH).alias(BATCH), part(self.partition_col).try_cast("date").alias(self.partition_col))
+
+    # -- upkeep --------------------------------------------------------------
+
+    def compact(self, spark: SparkSession, target_bytes: int | None = None) -> int:
+        """Pack the small files of each partition to about `target_bytes`; returns how many partitions changed.
+
+        The file sizes come from a scan that reads no column. The files of a
+        partition are dealt in order of size to groups of the target size, and where
+        that gives fewer files the partition is written anew, a task per group,
+        beside the old one; then its entry in the catalog moves, one statement per
+        partition. A job cut off leaves every partition as it was or done. Old
+        folders stay for readers at work. On the v2 backend this is the format's own
+        procedure.
+        """
+        target = int(target_bytes or (self.properties or APPEND_PROPERTIES)[FILE_SIZE])
+        if self.fmt == "iceberg":
+            catalog = self.table.split(".")[0]
+            spark.sql(f"CALL {catalog}.system.rewrite_data_files(table => {literal(self.table)}, options => map('target-file-size-bytes', '{target}'))")
+            return 0
+        table = spark.table(self.current(spark))
+        keys = self._partitions_of(table)
+        if not keys:
+            raise ValueError(f"{self.table} has no partitions to compact")
+        path, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
+        files = table.select(*map(quote, keys), path.alias("_path"), size.alias("_size")).distinct()
+        window = Window.partitionBy(*map(quote, keys))
+        running = F.sum("_size").over(window.orderBy(F.desc("_size"), "_path")) - F.col("_size")
+        dealt = files.withColumn("_group", F.floor(running / target)).withColumns(
+            {"_files": F.count("*").over(window), "_groups": F.max("_group").over(window) + 1}
+        )
+        plan = dealt.where("_groups < _files").drop("_size", "_files", "_groups")
+        # One number per group of files, in no order; the list is as long as that of the groups.
+        groups = plan.select(*map(quote, keys), "_group").distinct().collect()
+        if not groups:
+            return 0
+        slots = spark.createDataFrame([(*row, n) for n, row in enumerate(groups)], plan.select(*map(quote, keys), "_group").schema.add("_slot", "int"))
+        numbered = plan.join(slots, [*keys, "_group"]).select("_path", "_slot")
+        # Partition values as literals, so that the scan leaves all other partitions out.
+        touched = table.where(F.col(quote(keys[0])).isin(*{row[0] for row in groups}))
+        rows = touched.withColumn("_path", path).join(numbered, "_path").drop("_path")
+        folder = f"{self._place(spark)}/_compact-{uuid.uuid4().hex}"
+        placed = rows.repartitionById(len(groups), "_slot").drop("_slot")
+        placed.write.options(**self.write_options()).partitionBy(*keys).parquet(folder)
+        changed = sorted({tuple(row[:-1]) for row in groups})
+        for values in changed:
+            spec = ", ".join(f"{quote(c)} = {literal(str(v))}" for c, v in zip(keys, values, strict=True))
+            place = "/".join(f"{c}={v}" for c, v in zip(keys, values, strict=True))
+            spark.sql(f"ALTER TABLE {self.current(spark)} PARTITION ({spec}) SET LOCATION {literal(f'{folder}/{place}')}")
+        return len(changed)
+
+    def purge(self, spark: SparkSession, keep: int = 1) -> int:
+        """Delete the folders of replaced tables but for the `keep` newest; returns how many went.
+
+        Only folders right below this sink's own are looked at, and never the one in use.
+        """
+        base = spark._jvm.org.apache.hadoop.fs.Path(self._base(spark))
+        files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+        used = self._place(spark).rsplit("/", 1)[-1]
+        entries = [e for e in files.listStatus(base) if e.isDirectory() and e.getPath().getName() != used]
+        old = sorted(entries, key=lambda e: e.getModificationTime(), reverse=True)[keep:]
+        gone = {e.getPath().getName() for e in old}
+        if self.versioned:
+            for name in self._versions(spark):
+                if self._place(spark, name).rsplit("/", 1)[-1] in gone:
+                    spark.sql(f"DROP TABLE {name}")
+        for entry in old:
+            files.delete(entry.getPath(), True)
+        return len(old)
+
+    def current(self, spark: SparkSession) -> str:
+        """The table that holds the rows: itself, or the version that the view shows."""
+        if not self.versioned:
+            return self.table
+        return self._described(spark, self.table, "View Text").rsplit(" ", 1)[-1]
 
     # -- parts ---------------------------------------------------------------
 
-    def _partition_of(self, df: DataFrame) -> str | None:
+    def partition_of(self, df: DataFrame) -> str | None:
         return self.partition_col if self.partition_col in df.columns else None
 
+    def _partitions_of(self, df: DataFrame) -> list[str]:
+        return [c for c in (self.partition_col, BATCH) if c in df.columns]
+
     def _prepared(self, df: DataFrame) -> DataFrame:
-        partition = self._partition_of(df)
+        partition = self.partition_of(df)
         if partition is None:
             return df
         df = df.withColumn(partition, F.col(quote(partition)).cast("date"))
@@ -179,42 +329,98 @@ class TableSink:
                 f"columns the table lacks: {sorted(given - known)}"
             )
 
-    def _inside(self, df: DataFrame, first: date, past: date) -> DataFrame:
-        day = F.col(quote(self.partition_col)).cast("date")
-        message = F.format_string(
-            f"partition date %s is outside the period {first} to {past}", day.cast("string")
-        )
-        checked = F.when((day >= F.lit(first)) & (day < F.lit(past)), day).otherwise(
-            F.raise_error(message).cast("date")
-        )
-        return df.withColumn(self.partition_col, checked)
+    def _aligned(self, df: DataFrame) -> DataFrame:
+        """`df` with the table's columns; the table gets those that it lacks."""
+        spark = df.sparkSession
+        known = {f.name: f.dataType for f in spark.table(self.table).schema.fields}
+        given = {f.name: f.dataType for f in df.schema.fields}
+        other = [f"{c}: {given[c].simpleString()} is not {known[c].simpleString()}" for c in given if c in known and given[c] != known[c]]
+        if other:
+            raise ValueError(f"{self.table}: columns of another type: {other}")
+        new = [c for c in given if c not in known]
+        if new:
+            columns = ", ".join(f"{quote(c)} {_plain_type(given[c]).simpleString()}" for c in new)
+            spark.sql(f"ALTER TABLE {self.current(spark)} ADD COLUMNS ({columns})")
+            if self.versioned:
+                self._show(spark, self.current(spark))
+        lacking = {c: F.lit(None).cast(known[c]) for c in known if c not in given}
+        return df.withColumns(lacking) if lacking else df
+
+    def _overwrite(self, df: DataFrame) -> None:
+        """Replace just the partitions that `df` has rows of."""
+        spark, name = df.sparkSession, self.current(df.sparkSession)
+        ordered = df.select(*(quote(c) for c in spark.table(name).columns))
+        # insertInto heeds the session setting only, not the writer option.
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            ordered.write.mode("overwrite").insertInto(name)
+
+    def write_options(self) -> dict[str, str]:
+        codec = (self.properties or {}).get(CODEC)
+        return {**self.options, **({"compression": codec} if codec else {})}
 
     def _v1_writer(self, df: DataFrame):
-        writer = df.write.format(self.fmt).options(**self.options)
-        partition = self._partition_of(df)
-        return writer.partitionBy(partition) if partition else writer
+        writer = df.write.format(self.fmt).options(**self.write_options())
+        partitions = self._partitions_of(df)
+        return writer.partitionBy(*partitions) if partitions else writer
 
     def _new_v1_writer(self, df: DataFrame):
-        return self._v1_writer(df).option("path", self._fresh_folder(df.sparkSession))
+        return self._v1_writer(df).option("path", self.fresh_folder(df.sparkSession))
 
     def _v2_writer(self, df: DataFrame, defaults: Mapping[str, str]):
         writer = df.writeTo(self.table).using("iceberg")
         for key, value in (self.properties or defaults).items():
             writer = writer.tableProperty(key, value)
-        partition = self._partition_of(df)
-        return writer.partitionedBy(F.col(quote(partition))) if partition else writer
-
-    def _fresh_folder(self, spark: SparkSession) -> str:
-        base = self.location
-        if base is None:
-            database, _, name = self.table.rpartition(".")
-            database = database or spark.catalog.currentDatabase()
-            base = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}.data"
-        return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-    def _staged_name(self) -> str:
+        partitions = [F.col(quote(c)) for c in self._partitions_of(df)]
+        return writer.partitionedBy(*partitions) if partitions else writer
+
+    def _create(self, df: DataFrame) -> None:
+        if self.fmt == "iceberg":
+            self._v2_writer(df, APPEND_PROPERTIES).create()
+            return
+        name = self.staged_name() if self.versioned else self.table
+        self._new_v1_writer(df).saveAsTable(name)
+        if self.versioned:
+            self.publish(df.sparkSession, name)
+        else:
+            self._describe(df.sparkSession, name)
+
+    def _base(self, spark: SparkSession) -> str:
+        if self.location is not None:
+            return self.location.rstrip("/")
+        database, _, name = self.table.rpartition(".")
+        database = database or spark.catalog.currentDatabase()
+        return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}.data"
+
+    def fresh_folder(self, spark: SparkSession) -> str:
+        return f"{self._base(spark)}/{uuid.uuid4().hex}"
+
+    def staged_name(self) -> str:
+        if self.versioned:
+            return f"{self.table}{VERSION}{time.time_ns():020d}"
         return f"{self.table}__staged_{uuid.uuid4().hex[:12]}"
 
+    def _described(self, spark: SparkSession, name: str, what: str) -> str:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == what)
+        return rows.first()["data_type"]
+
+    def _place(self, spark: SparkSession, name: str | None = None) -> str:
+        """The folder of the table, or of one of its versions."""
+        return self._described(spark, name or self.current(spark), "Location").rstrip("/")
+
+    def _versions(self, spark: SparkSession) -> list[str]:
+        database, dot, name = self.table.rpartition(".")
+        listed = list_tables(spark, database or spark.catalog.currentDatabase(), f"{name}{VERSION}*")
+        return [f"{database}{dot}{row['tableName']}" for row in listed.collect()]
+
+    def _describe(self, spark: SparkSession, name: str) -> None:
+        if self.properties:
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_pairs(self.properties)})")
+
+    def _show(self, spark: SparkSession, version: str) -> None:
+        # ALTER VIEW changes one catalog entry; CREATE OR REPLACE would drop it first.
+        verb = "ALTER" if table_exists(spark, self.table) else "CREATE"
+        spark.sql(f"{verb} VIEW {self.table} AS SELECT * FROM {version}")
+
     def _swap_in(self, spark: SparkSession, staged: str) -> None:
         # All data is written by now; only catalog entries change. The old one
         # is dropped last, so that a driver lost at any step leaves one of the two
@@ -236,21 +442,41 @@ class TableSink:
         else:
             spark.sql(f"ALTER TABLE {aside} RENAME TO {self.table}")
 
-    def _dates(self, spark: SparkSession, first: date, past: date) -> set[date]:
-        listed = spark.sql(f"SHOW PARTITIONS {self.table}")
-        day = F.regexp_extract("partition", "=(.*)$", 1).try_cast("date")
-        inside = listed.select(day.alias("day")).where(
-            (F.col("day") >= F.lit(first)) & (F.col("day") < F.lit(past))
-        )
+    def _dates(self, spark: SparkSession, periods: Sequence[Period]) -> set[date]:
+        listed = spark.sql(f"SHOW PARTITIONS {self.current(spark)}")
+        day = F.regexp_extract("partition", "^[^=]*=([^/]*)", 1).try_cast("date")
+        inside = listed.select(day.alias("day")).where(_any_of(F.col("day"), periods))
         return {row.day for row in inside.collect()}
 
-    def _empty_date(self, spark: SparkSession, day: date) -> None:
-        others = [f for f in spark.table(self.table).schema.fields if f.name != self.partition_col]
+    def _parts_of(self, spark: SparkSession, batch: str) -> list[tuple]:
+        own = self.batches(spark).where(F.col(BATCH) == batch)
+        return [(row[1], row[0]) if self.partition_col in spark.table(self.table).columns else (row[0],) for row in own.collect()]
+
+    def _empty(self, spark: SparkSession, spec: str) -> None:
+        """Take all rows out of one partition."""
+        name = self.current(spark)
+        partitions = {c.split("=")[0].strip(" `") for c in spec.split(", ")}
+        others = [f for f in spark.table(name).schema.fields if f.name not in partitions]
         nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in others)
-        spec = f"PARTITION ({quote(self.partition_col)} = DATE'{day}')"
         with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-            spark.sql(f"INSERT OVERWRITE TABLE {self.table} {spec} SELECT {nulls} WHERE false")
-        spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {spec}")
+            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {nulls} WHERE false")
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+
+
+def _any_of(day: Column, periods: Sequence[Period]) -> Column:
+    inside = F.lit(False)
+    for first, past in periods:
+        inside = inside | ((day >= F.lit(first)) & (day < F.lit(past)))
+    return inside
+
+
+def _shown(periods: Sequence[Period]) -> str:
+    shown = [f"the period {first} to {past}" for first, past in periods[:3]]
+    return ", ".join(shown) + (f" and {len(periods) - 3} more" if len(periods) > 3 else "")
+
+
+def _plain_type(kind: T.DataType) -> T.DataType:
+    return T.StringType() if isinstance(kind, T.NullType) else kind
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:

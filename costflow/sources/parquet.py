@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costflow.operators.widen import merged, widened_items
+from costflow.sources.footers import file_footers
+from costflow.sqltext import project
+
 
 def scan_folder(spark: SparkSession, path: str) -> DataFrame:
     """One folder; `column=value` folders below it become partition columns."""
@@ -44,6 +49,28 @@ def scan_periods(
     return scan_recursive(spark, *(f"{base.rstrip('/')}/{folder.format(p)}" for p in periods))
 
 
+def scan_widened(spark: SparkSession, *paths: str, suffix: str = ".parquet") -> DataFrame:
+    """All matching files below the paths, also where they disagree on types.
+
+    The footers are read in Spark tasks and the files grouped by their columns and
+    types; every group is a scan of its own, cast to the narrowest types that take
+    all (`operators.widen.widest`) and united. Types that none covers are refused
+    by the column's name. The lists of paths, of the size of Spark's own listing,
+    and one schema a group are all that reaches the driver. A file whose footer
+    cannot be read fails the scan, as does a scan without files.
+    """
+    footers = file_footers(spark, *paths, suffix=suffix)
+    groups = footers.groupBy("layout", "problem").agg(F.sort_array(F.collect_list("path")).alias("files"), F.min("path").alias("first"))
+    found = groups.orderBy("first").collect()
+    bad = [f"{row['first']}: {row.problem}" for row in found if row.problem]
+    if bad or not found:
+        raise ValueError(f"files that cannot be read: {bad}" if bad else f"no files below {paths}")
+    # One footer stands for a group, whose files have the same columns and types.
+    scans = [spark.read.option("mergeSchema", "false").parquet(*row.files) for row in found]
+    wide = merged([scan.schema for scan in scans])
+    return reduce(DataFrame.unionByName, [project(scan, widened_items(scan.schema, wide)) for scan in scans])
+
+
 def scan_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 

@@ -1,57 +1,67 @@
-"""Pick up new feed files with a file-source stream."""
+"""Pick up new feed files with a file-source stream and load them into the table, each once."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from costflow.operators.catalog import TargetSchema
-from costflow.operators.distribute import distribute_sorted
 from costflow.plans.chain import standardize
+from costflow.sinks.table import BATCH, TableSink
+from costflow.sources.parquet import scan_widened
 
-#: Folder level of the output that names the batch.
-BATCH = "load_batch"
+#: Files that one batch takes at most; their paths pass through the driver.
+MAX_FILES = 10_000
+
+# What a stream of file names looks like, whatever is in the files.
+_NAMES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def ingest_new_files(
     spark: SparkSession,
     source: str,
-    schema: T.StructType,
     target: TargetSchema | None,
-    output: str,
+    sink: TableSink,
     checkpoint: str,
-    partition_col: str | None = "partitiondate",
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = MAX_FILES,
     **policies,
 ) -> DataFrame:
-    """Append the standardized rows of all files not seen before, then stop.
+    """Load the standardized rows of all files not seen before into the table, then stop.
+
+    The stream carries the names of new files only; its checkpoint makes each
+    name count once. A batch reads its own files, so their columns and types are
+    found anew each time: files of one batch may disagree (`scan_widened`), a
+    column that the table lacks is added to it, and one of another type is refused
+    by name, which ends the stream before the batch is written.
 
-    The checkpoint remembers the files. Each batch is written to a folder of its
-    number, which a repeated batch overwrites, so a run that is killed and
-    repeated adds each row once; no log of all files ever written is kept. Rows
-    are brought together by date before the write. Every transform is stateless:
-    memory does not grow with the feed.
+    The rows carry the batch in the partition column `load_batch`: a name of the
+    stream and the batch's number. A batch that was cut off and comes again
+    replaces its own rows (`TableSink.replace_batch`), and the table itself tells
+    which dates which batch brought (`TableSink.batches`). Returns the table
+    without that column.
     """
-    reader = (
-        spark.readStream.schema(schema)
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema(_NAMES)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
+        .option("maxFilesPerTrigger", max_files_per_batch)
+        .load(source)
+        .select("path")  # no file is opened for its content
     )
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    out = standardize(reader.parquet(source), target, **policies)
-    by_date = [partition_col] if partition_col in out.columns else []
 
-    def write(batch: DataFrame, number: int) -> None:
-        rows = distribute_sorted(batch, *by_date) if by_date else batch
-        writer = rows.write.mode("overwrite").option("compression", "zstd")
-        writer.option("partitionOverwriteMode", "static").partitionBy(*by_date).parquet(f"{output}/{BATCH}={number}")
+    def load(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        paths = [row.path for row in batch.collect()]
+        if paths:
+            stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+            rows = standardize(scan_widened(session, *paths), target, **policies)
+            sink.replace_batch(rows, f"{stream}-{number:09d}")
 
     query = (
-        out.writeStream.foreachBatch(write)
+        names.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(output).drop(BATCH)
+    return spark.table(sink.table).drop(BATCH)

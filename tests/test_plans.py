@@ -236,8 +236,7 @@ def test_wide_table_round_trip(spark, tmp_path):
 
 def test_stream_takes_each_file_once(spark, tmp_path):
     target = TargetSchema.of([("record_id", "string"), ("partitiondate", "date")])
-    schema = generate_feed(spark, 1).schema
-    args = (str(tmp_path / "in"), schema, target, str(tmp_path / "out"), str(tmp_path / "check"))
+    args = (str(tmp_path / "in"), target, new_sink(tmp_path), str(tmp_path / "check"))
     for n in range(3):
         feed = generate_feed(spark, 40).withColumn("record_id", F.col("record_id") + 40 * n)
         feed.write.parquet(str(tmp_path / "in" / f"lot{n}"))
