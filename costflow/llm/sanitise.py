@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from costflow.llm.common import text_of, written
 
@@ -31,11 +32,15 @@ VALID = {
 
 #: Terms: letters, so many at least; looked for in the whole of a text with base spans.
 TERM = r"\p{L}{4,}"
+#: A term that begins with a capital behind a word, so not because a sentence begins with it.
+NAME = r"(?<=[\p{L}\p{N},;:] )\p{Lu}\p{L}{3,}"
 #: So many documents at the entity's share of the corpus are added to those of a term, which draws
 #: terms of few documents a little towards telling nothing.
 PRIOR = 0.1
 #: Shares of the entity's information that a term may disclose.
 GENERALISE, REMOVE = 0.5, 0.9
+#: Harmless terms of one kind that chance may be expected to tie to an entity as closely; see `disclosing`.
+CHANCE = 0.1
 
 
 def _digits(match: Column) -> Column:
@@ -56,16 +61,24 @@ def _sums(values: Column) -> Column:
     return F.aggregate(values, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), step)["out"]
 
 
-def located(text: Column, found: Column, pattern: str, shift: Column | int = 0) -> Column:
-    """array<struct<start, end, value>> of the matches `found`, in code points.
+def steps_of(text: Column, found: Column, pattern: str) -> Column:
+    """array<struct<gap, value>> of the matches `found`, each with the code points between it and the one before.
+
+    To be a column of its own before `located` uses it: inside of a lambda an
+    expression is worked out again for each element.
+    """
+    gaps = F.slice(F.transform(F.split(text, pattern), F.length), 1, F.size(found))
+    empty = F.array().cast("array<struct<gap:int,value:string>>")
+    return F.when(F.size(found) > 0, F.arrays_zip(gaps.alias("gap"), found.alias("value"))).otherwise(empty)
+
+
+def located(steps: Column) -> Column:
+    """array<struct<start, end, value>> of the matches, in code points, from a column of `steps_of`.
 
     The gaps between matches and the matches before them add up to the starts,
     first within blocks of matches, then over the blocks.
     """
-    start = F.lit(shift) if isinstance(shift, int) else shift
-    gaps = F.slice(F.transform(F.split(text, pattern), F.length), 1, F.size(found))
-    steps = F.arrays_zip(gaps.alias("gap"), found.alias("value"))
-    blocks = F.transform(F.sequence(F.lit(1), F.size(found), F.lit(BLOCK)), lambda at: F.slice(steps, at, BLOCK))
+    blocks = F.transform(F.sequence(F.lit(1), F.size(steps), F.lit(BLOCK)), lambda at: F.slice(steps, at, BLOCK))
 
     def placed(block: Column) -> Column:
         sizes = F.transform(block, lambda x: x["gap"] + F.length(x["value"]))
@@ -74,7 +87,7 @@ def located(text: Column, found: Column, pattern: str, shift: Column | int = 0)
         return F.struct(inside.alias("inside"), total.alias("total"))
 
     def from_start(block: Column, before: Column) -> Column:
-        at = lambda x: (start + before + x["before"] + x["step"]["gap"]).cast("int")
+        at = lambda x: (before + x["before"] + x["step"]["gap"]).cast("int")
         return F.transform(
             block["inside"],
             lambda x: F.struct(at(x).alias("start"), (at(x) + F.length(x["step"]["value"])).alias("end"), x["step"]["value"].alias("value")),
@@ -90,7 +103,7 @@ def located(text: Column, found: Column, pattern: str, shift: Column | int = 0)
         )
     )
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(F.size(found) > 0, whole).otherwise(empty)
+    return F.when(F.size(steps) > 0, whole).otherwise(empty)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -109,7 +122,8 @@ def base_spans(docs: DataFrame) -> DataFrame:
             for k, p in PATTERNS.items()
         ),
     )
-    placed = found.select("doc_id", "mark", "text", *(located(F.col("text"), F.col(f"m_{k}"), p).alias(f"s_{k}") for k, p in PATTERNS.items()))
+    steps = found.select("doc_id", "mark", "text", *(steps_of(F.col("text"), F.col(f"m_{k}"), p).alias(f"p_{k}") for k, p in PATTERNS.items()))
+    placed = steps.select("doc_id", "mark", "text", *(located(F.col(f"p_{k}")).alias(f"s_{k}") for k in PATTERNS))
 
     def named(no: int, kind: str) -> Column:
         good = F.filter(F.col(f"s_{kind}"), lambda s: VALID[kind](s["value"]))
@@ -125,46 +139,108 @@ def _entity(span: Column) -> Column:
 
 
 def holders(spans: DataFrame) -> DataFrame:
-    """(mark, entities, terms): each text with base spans once, its entities, and its terms outside of base spans.
+    """(mark, text, base): each text with base spans once."""
+    return spans.where(F.size("base") > 0).groupBy("mark").agg(F.first("text").alias("text"), F.first("base").alias("base"))
+
+
+def places(held: DataFrame) -> DataFrame:
+    """(mark, start, end, term) of every term that touches no base span, the term in lower case.
 
-    `terms` is array<struct<start, end, value>>, the value in lower case.
+    Spans and terms of a text are put in one order; a term is apart if all spans
+    before it end before it and the next one begins behind it.
     """
-    texts = spans.where(F.size("base") > 0).groupBy("mark").agg(F.first("text").alias("text"), F.first("base").alias("base"))
-    located_terms = located(F.col("text"), matches(F.col("text"), TERM), TERM)
-    apart = F.filter(located_terms, lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"])))
-    lower = F.transform(apart, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lower(t["value"]).alias("value")))
-    return texts.select("mark", F.array_distinct(F.transform("base", _entity)).alias("entities"), lower.alias("terms"))
+    found = held.select("mark", "text", "base", matches(F.col("text"), TERM).alias("found"))
+    steps = found.select("mark", "base", steps_of(F.col("text"), F.col("found"), TERM).alias("steps"))
+    term = lambda t: F.struct(t["start"].alias("start"), F.lit(1).alias("late"), t["end"].alias("end"), F.lower(t["value"]).alias("term"))
+    span = lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("late"), s["end"].alias("end"), F.lit(None).cast("string").alias("term"))
+    both = steps.select("mark", "base", located(F.col("steps")).alias("whole"))
+    each = both.select("mark", F.explode(F.concat(F.transform("base", span), F.transform("whole", term))).alias("at")).select("mark", "at.*")
+    # Both frames grow from the start of their order; one that shrinks to the end is worked out again for each row.
+    forward, back = Window.partitionBy("mark").orderBy("start", "late"), Window.partitionBy("mark").orderBy(F.desc("start"), F.desc("late"))
+    is_span = F.col("term").isNull()
+    reach = F.max(F.when(is_span, F.col("end"))).over(forward.rowsBetween(Window.unboundedPreceding, 0))
+    following = F.min(F.when(is_span, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, 0))
+    apart = (F.coalesce(F.col("reach"), F.lit(0)) <= F.col("start")) & F.coalesce(F.col("following") >= F.col("end"), F.lit(True))
+    return each.withColumns({"reach": reach, "following": following}).where(~is_span & apart).select("mark", "start", "end", "term")
+
+
+def entity_classes(held: DataFrame) -> DataFrame:
+    """(mark, class, n_entity): what stands for the entities of a text.
+
+    Entities that are in the very same texts cannot be told apart by counting, so
+    they are one class: a text with thousands of addresses found nowhere else has
+    one class for them all. A class is named by two hashes over its texts.
+    """
+    entities = held.select("mark", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
+    told = entities.groupBy("entity").agg(
+        F.count("*").alias("n_entity"), F.bit_xor(F.xxhash64("mark")).alias("h1"), F.bit_xor(F.xxhash64("mark", F.lit(1))).alias("h2")
+    )
+    named = entities.join(told, "entity").select("mark", F.struct("n_entity", "h1", "h2").alias("class"))
+    return named.distinct().select("mark", "class", F.col("class.n_entity").alias("n_entity"))
+
+
+def corpus_terms(texts: DataFrame) -> DataFrame:
+    """(term, n_term, n_alike, name): distinct texts with the term, how many such terms there are, and whether it is like a name.
+
+    A name is never in lower case, and somewhere has a capital inside a sentence.
+    `n_alike` counts the terms that as many texts hold and that are names or not as well.
+    """
+    seen = F.array_distinct(matches(F.col("text"), TERM))
+    lower = lambda x: F.lower(x)
+    tagged = lambda terms, kind: F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(kind).alias("kind")))
+    small = F.filter("seen", lambda x: x == F.lower(x))
+    names = F.transform(matches(F.col("text"), NAME), lower)
+    each = texts.select("text", seen.alias("seen")).select(
+        F.explode(F.concat(tagged(F.transform("seen", lower), 0), tagged(small, 1), tagged(names, 2))).alias("at")
+    )
+    kinds = [F.count_if(F.col("at.kind") == k) for k in range(3)]
+    counts = each.groupBy("at.term").agg(kinds[0].alias("n_term"), ((kinds[1] == 0) & (kinds[2] > 0)).alias("name"))
+    alike = counts.groupBy("n_term", "name").agg(F.count("*").alias("n_alike"))
+    return counts.join(alike, ["n_term", "name"]).select("term", "n_term", "n_alike", "name")
 
 
-def together(held: DataFrame, docs: DataFrame) -> DataFrame:
-    """(mark, entity, term, n, n_entity, n_term): entities and terms in one text, with their counts of distinct texts.
+def together(classes: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
+    """(mark, class, term, n, n_entity, n_term, n_alike, name): entities and terms in one text, with their counts of distinct texts.
 
     Pairs that cannot disclose GENERALISE, even if all texts of the entity hold the
-    term, are left out: those with n_term ** 2 > n * n_entity. Copies of a text
-    count once, and texts with a term are counted over the whole corpus.
+    term, are left out: those with n_term ** 2 > n * n_entity. Terms that are so for
+    every entity of their text go before the pairs are made. Copies of a text count
+    once, and texts with a term are counted over the whole corpus.
     """
     texts = docs.select(F.xxhash64(text_of(docs)).alias("mark"), text_of(docs).alias("text"))
     n = texts.agg(F.count_distinct("mark").alias("n"))  # one row
-    texts = texts.groupBy("mark").agg(F.first("text").alias("text"))
-    entities = held.select("mark", F.explode("entities").alias("entity"))
-    entities = entities.join(entities.groupBy("entity").agg(F.count("*").alias("n_entity")), "entity")
-    counts = texts.select(F.explode(F.array_distinct(matches(F.lower("text"), TERM))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    terms = held.select("mark", F.explode(F.array_distinct(F.transform("terms", lambda t: t["value"]))).alias("term")).join(counts, "term")
-    return entities.join(terms, "mark").join(F.broadcast(n)).where(F.col("n_term") * F.col("n_term") <= F.col("n") * F.col("n_entity"))
+    counts = corpus_terms(texts.groupBy("mark").agg(F.first("text").alias("text")))
+    most = classes.groupBy("mark").agg(F.max("n_entity").alias("most"))
+    rare = lambda entity: F.col("n_term") * F.col("n_term") <= F.col("n") * F.col(entity)
+    terms = found.select("mark", "term").distinct().join(counts, "term").join(F.broadcast(n))
+    terms = terms.join(most, "mark").where(rare("most")).drop("most")
+    return classes.join(terms, "mark").where(rare("n_entity"))
 
 
 def disclosing(pairs: DataFrame) -> DataFrame:
-    """(entity, term, disclosed): terms that give away at least GENERALISE of an entity.
+    """(class, term, disclosed): terms that give away at least GENERALISE of an entity, and not by chance.
 
     Pointwise mutual information of term and entity over the entity's information
-    content, from counts of distinct texts. The entity's share of the texts with
-    the term is smoothed by PRIOR; one text is enough to tell.
+    content, from counts of distinct texts; the entity's share of the texts with
+    the term is smoothed by PRIOR.
+
+    Evidence: were the texts of a term dealt by chance, at least n_pair of them
+    would be among those of the entity with a probability of about
+    C(n_term, n_pair) * (n_entity / n) ** n_pair. Times the number of terms of the
+    same kind (`corpus_terms`), that is how many such ties chance alone makes for
+    this entity; a word counts only where it is CHANCE at most. So a word of one
+    text tells nothing where thousands of words are in one text only. What is like
+    a name needs no such evidence: names are told to give people away.
     """
-    counted = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_pair"), *(F.max(c).alias(c) for c in ("n", "n_entity", "n_term")))
+    counted = pairs.groupBy("class", "term").agg(F.count("*").alias("n_pair"), *(F.max(c).alias(c) for c in ("n", "n_entity", "n_term", "n_alike", "name")))
     share = F.col("n_entity") / F.col("n")
     given = (F.col("n_pair") + PRIOR * share) / (F.col("n_term") + PRIOR)
-    told = counted.select("entity", "term", F.when(share < 1, F.log2(given / share) / -F.log2(share)).otherwise(0.0).alias("disclosed"))
-    return told.where(F.col("disclosed") >= GENERALISE)
+    told = F.when(share < 1, F.log2(given / share) / -F.log2(share)).otherwise(0.0)
+    # Of a term's texts all or some are with the entity; (e t / k) ** k is over C(t, k).
+    ways = F.when(F.col("n_pair") == F.col("n_term"), 0.0).otherwise(F.col("n_pair") * (1 + F.log(F.col("n_term") / F.col("n_pair"))))
+    chance = F.log("n_alike") + F.least(F.lit(0.0), ways + F.col("n_pair") * F.log(share))
+    sure = F.col("name") | (chance <= F.log(F.lit(CHANCE)))
+    return counted.select("class", "term", told.alias("disclosed"), sure.alias("sure")).where((F.col("disclosed") >= GENERALISE) & F.col("sure")).drop("sure")
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
@@ -179,14 +255,16 @@ def find_spans(docs: DataFrame) -> DataFrame:
     narrow = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
     found = base_spans(narrow)
     plain = F.transform("base", lambda s: F.struct(s["no"], s["kind"], s["start"], s["end"], F.lit(None).cast("double").alias("disclosed")))
-    base = written(found.select("doc_id", "mark", plain.alias("base")), "base_spans")
+    # The text goes along where it is needed again, so that no pattern is tried twice.
+    found = written(found.withColumn("text", F.when(F.size("base") > 0, F.col("text"))), "base_spans")
+    base = found.select("doc_id", "mark", plain.alias("base"))
     held = written(holders(found), "holders")
-    pairs = written(together(held, narrow), "pairs")
+    at = written(places(held), "places")
+    pairs = written(together(written(entity_classes(held), "classes"), at, narrow), "pairs")
     telling = written(disclosing(pairs), "disclosing")
-    told = pairs.join(telling, ["entity", "term"]).groupBy("mark", "term").agg(F.max("disclosed").alias("disclosed"))
-    places = held.select("mark", F.explode("terms").alias("t")).select("mark", F.col("t.value").alias("term"), "t.start", "t.end")
+    told = pairs.join(telling, ["class", "term"]).groupBy("mark", "term").agg(F.max("disclosed").alias("disclosed"))
     terms = (
-        places.join(told, ["mark", "term"])
+        at.join(told, ["mark", "term"])
         .groupBy(F.col("mark").alias("term_mark"))
         .agg(
             F.sort_array(

@@ -231,7 +231,7 @@ def test_base_spans_against_the_plain_patterns(spark):
 
 def test_terms_that_only_occur_with_an_entity_are_hidden(spark):
     rows = [(i, "Zephyrine writes to z@mail.org about common things") for i in range(2)]
-    rows += [(i, "common things happen to everyone who writes about them") for i in range(2, 40)]
+    rows += [(i, f"common things happen to everyone who writes about them {i}") for i in range(2, 40)]  # copies are one text, and two texts tell nothing
     clean = {r.doc_id: r.clean_text for r in sanitise.sanitised(docs(spark, rows)).collect()}
     assert clean[0] == " writes to <EMAIL> about common things" and clean[5] == rows[5][1]
 
@@ -258,9 +258,18 @@ def plain_terms(said):
     n_entity = Counter(e for t in texts for e in held[t])
     n_pair = Counter((e, w) for t in texts for e in held[t] for w in {w for _, _, w in where[t]})
 
+    everywhere = " \n".join(texts)
+    small = set(re.findall("[a-zé]{4,}", re.sub("[A-Z][A-Za-zé]*", " ", everywhere)))
+    inside = {w.lower() for w in re.findall("(?<=[A-Za-zé0-9,;:] )[A-Z][A-Za-zé]{3,}", everywhere)}
+    names = {w: w in inside and w not in small for w in n_term}
+    alike = Counter((n_term[w], names[w]) for w in n_term)
+
     def disclosed(e, w):
-        p = n_entity[e] / n
-        return 0.0 if p == 1 else np.log2((n_pair[e, w] + sanitise.PRIOR * p) / (n_term[w] + sanitise.PRIOR) / p) / -np.log2(p)
+        p, k, t = n_entity[e] / n, n_pair[e, w], n_term[w]
+        if p == 1:
+            return 0.0
+        chance = min(1.0, (1 if k == t else (np.e * t / k) ** k) * p**k) * alike[t, names[w]]
+        return np.log2((k + sanitise.PRIOR * p) / (t + sanitise.PRIOR) / p) / -np.log2(p) if names[w] or chance <= sanitise.CHANCE else 0.0
 
     told = {t: [(a, b, max((disclosed(e, w) for e in held[t]), default=0.0)) for a, b, w in where[t]] for t in texts}
     return {t: sorted(x for x in told[t] if x[2] >= sanitise.GENERALISE) for t in texts}
@@ -270,6 +279,7 @@ def test_terms_against_plain_counting(spark):
     rng = np.random.default_rng(8)
     pieces = [*(f"{a}{b}word" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"), *["the", "common", "Common", "things"] * 12, *(f"q{k}@b.cd" for k in range(20)), "9.8.7.6", "x.name@mail.org"]
     said = [" ".join(rng.choice(pieces, rng.integers(1, 60))) for _ in range(150)]
+    said += [f"the person{c} and Person{c} of z{c}@b.cd {x}" for c in "abcdefgh" for x in ("once", "again")]
     said += [said[0]] * 5 + ["Solitary Quixote is at once@only.org", "é nothing here"]
     expected = plain_terms(said)
     assert sum(map(len, expected.values())) > 20
@@ -280,6 +290,39 @@ def test_terms_against_plain_counting(spark):
     assert any(a == 0 for a, _, _ in expected[said[-2]])
 
 
+def test_names_go_and_words_stay(spark):
+    """Sentences of words of every frequency; a third of the texts names a person, mostly one who is in no other."""
+    rng = np.random.default_rng(21)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnoprstuvw"), rng.integers(4, 9)))
+    vocabulary = [word() for _ in range(30_000)]
+    weights = 1 / np.arange(1, 30_001)
+    weights /= weights.sum()
+    rows, planted, others, base = [], [], [], set()
+    for i in range(1500):
+        words = [vocabulary[k] for k in rng.choice(30_000, 120, p=weights)]
+        sentences = [" ".join(words[k : k + 12]).capitalize() + "." for k in range(0, 120, 12)]
+        if i % 3 == 0:
+            person = i // 6 if i % 6 else i // 60  # some are in several texts
+            name = "Q" + "".join(chr(97 + int(d)) for d in f"{person:05d}") + "ix"
+            sentences.insert(4, f"They met {name} and wrote to {name.lower()[:3]}{person}@mail.org about it.")
+            base.add(i)
+            planted.append((i, name.lower()))
+        rows.append((i, " ".join(sentences)))
+    found = {r.doc_id: r.spans for r in sanitise.find_spans(docs(spark, rows)).collect()}
+    hidden = {i: {rows[i][1][s.start : s.end].lower() for s in found[i] if s.kind == "term"} for i in base}
+    caught = np.mean([name in hidden[i] for i, name in planted])
+    names = {name for _, name in planted}
+    for i in base:
+        others += [w in hidden[i] for w in re.findall("[a-z]{4,}", rows[i][1].lower()) if w not in names and w != "mail"]
+    assert caught >= 0.9 and np.mean(others) <= 0.02, (caught, np.mean(others))
+
+
+def test_many_entities_and_terms_of_one_text_end(spark):
+    many = " ".join(f"a{k}@b{k}.org word{'x' * (k % 7)}{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}" for k in range(20_000))
+    rows = docs(spark, [(1, many), (2, "plain words of another text"), (3, many + " a0@b0.org")])
+    assert {r.doc_id: sum(s.kind == "email" for s in r.spans) for r in sanitise.find_spans(rows).collect()} == {1: 20_000, 2: 0, 3: 20_001}
+
+
 # -- 6 -------------------------------------------------------------------------
 
 
