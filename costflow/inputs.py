@@ -134,6 +134,18 @@ def write_by_week(df: DataFrame, column: str, path: str) -> None:
     rebalance(df.withColumn("week", week), "week").write.partitionBy("week").parquet(path)
 
 
+def cut_off_copy(spark: SparkSession, source: str, copy: str, share: float = 0.5) -> None:
+    """The first part of a file under another name, as a writer that died leaves it."""
+    hadoop = spark._jvm.org.apache.hadoop
+    old, new = hadoop.fs.Path(source), hadoop.fs.Path(copy)
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    part = int(files.getFileStatus(old).getLen() * share)
+    given, taken = files.open(old), files.create(new, True)
+    spark._jvm.org.apache.commons.io.IOUtils.copyLarge(given, taken, 0, part)
+    given.close()
+    taken.close()
+
+
 def part_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CREATE TABLE text per row of `part`, its names and types made from the row."""
     texts = F.format_string(

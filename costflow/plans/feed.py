@@ -21,7 +21,11 @@ def generate_feed(
     The anchor date is fixed so that two runs agree. `partitions` sets the
     number of files; the range is made in that many parts, no shuffle needed.
     """
-    ids = spark.range(0, rows, 1, partitions)
+    return feed_of(spark.range(0, rows, 1, partitions).withColumnRenamed("id", "record_id"), anchor)
+
+
+def feed_of(ids: DataFrame, anchor: date = ANCHOR) -> DataFrame:
+    """`generate_feed` for the whole numbers in `record_id`, whatever they come from."""
     i = F.col("record_id")
 
     def costs(adjusted: float, cost: float):
@@ -31,7 +35,7 @@ def generate_feed(
             F.lit("USD").alias("currencycode"),
         )
 
-    return ids.withColumnRenamed("id", "record_id").withColumns(
+    return ids.withColumns(
         {
             "status": F.lit("ok"),
             "accountid": F.concat(F.lit("acct-"), i.cast("string")),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from costflow.sinks.table import create_database
 from costflow.sources.files import file_inventory
+from costflow.sources.footers import file_footers
 from costflow.sources.parquet import scan_recursive
 from costflow.sqltext import quote
 from costflow.sources.text import load_target
@@ -41,6 +42,38 @@ def health_check(
     return reduce(DataFrame.unionByName, parts)
 
 
+def file_health(spark: SparkSession, *paths: str, deep: bool = False, suffix: str = ".parquet") -> DataFrame:
+    """(path, length, n_rows, rows_read, ok, problem) of every file below the paths: which one is damaged, and how.
+
+    A file without a readable footer has a problem and no number of rows. With
+    `deep`, the others are read in all columns, past damage, and a file that gives
+    fewer rows than its footer says is damaged too; without it `rows_read` is null.
+    Files that disagree on columns or types are read apart.
+    """
+    footers = file_footers(spark, *paths, suffix=suffix)
+    if deep:
+        # Footers are read once more for the second use, which is cheaper than keeping them.
+        groups = footers.where("problem IS NULL AND n_rows > 0").groupBy("layout").agg(F.collect_list("path").alias("files")).collect()
+        scans = [_rows_by_file(spark, row["files"]) for row in groups]
+        read = reduce(DataFrame.unionByName, scans, spark.createDataFrame([], "_path string, rows_read bigint"))
+        footers = footers.join(read, footers["path"] == read["_path"], "left").drop("_path")
+        footers = footers.withColumn("rows_read", F.when(F.col("problem").isNull(), F.coalesce("rows_read", F.lit(0))))
+    else:
+        footers = footers.withColumn("rows_read", F.lit(None).cast("bigint"))
+    lost = F.col("rows_read") < F.col("n_rows")
+    problem = F.when(lost, F.format_string("only %d of %d rows can be read", "rows_read", "n_rows")).otherwise(F.col("problem"))
+    return footers.select("path", "length", "n_rows", "rows_read", problem.isNull().alias("ok"), problem.alias("problem"))
+
+
+def _rows_by_file(spark: SparkSession, files: list[str]) -> DataFrame:
+    scan = spark.read.option("mergeSchema", "false").option("ignoreCorruptFiles", "true").parquet(*files)
+    # A hash that the result depends on makes the scan read every column.
+    whole = F.bit_xor(F.xxhash64(*(F.col(quote(c)) for c in scan.columns)))
+    place = F.regexp_replace(F.col("_metadata.file_path"), "^file:/*", "file:/")
+    read = scan.groupBy(place.alias("_path")).agg(F.count("*").alias("rows"), whole.alias("hash"))
+    return read.select("_path", F.when(F.col("hash").isNotNull(), F.col("rows")).alias("rows_read"))
+
+
 def preflight(
     spark: SparkSession, source: str, ddl: str, database: str, location: str | None = None
 ) -> DataFrame:

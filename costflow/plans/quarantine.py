@@ -10,6 +10,7 @@ from costflow.operators.conform import conform
 from costflow.operators.distribute import distribute_sorted
 from costflow.plans.chain import flattened, opened
 from costflow.sinks.table import TableSink
+from costflow.sources.files import path_exists
 from costflow.sqltext import literal, quote
 
 #: Columns of a row set aside: its values as JSON before any cast, and why it is here.
@@ -78,10 +79,10 @@ def load_quarantined(
     bad = [f for f in rows.schema.fields if f.name in (RAW, REASONS, date)]
     for own, fields, level in ((sink, good, "false"), (rejects, bad, "true")):
         columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in [*(f for f in fields if f.name != date), *(f for f in fields if f.name == date)])
-        staged = own.staged_name()
+        staged, place = own.staged_name(), f"{folder}/{ASIDE}={level}"
         by = f"PARTITIONED BY ({quote(date)})" if date else ""
-        spark.sql(f"CREATE TABLE {staged} ({columns}) USING parquet {by} LOCATION {literal(f'{folder}/{ASIDE}={level}')}")
-        if date:
+        spark.sql(f"CREATE TABLE {staged} ({columns}) USING parquet {by} LOCATION {literal(place)}")
+        if date and path_exists(spark, place):
             spark.sql(f"ALTER TABLE {staged} RECOVER PARTITIONS")
         own.publish(spark, staged)
     return spark.table(sink.table), spark.table(rejects.table)

@@ -9,7 +9,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,22 +24,27 @@ from costflow.operators.catalog import map_types, parse_ddl, target_from_text
 from costflow.operators.conform import cast_rejects, conform, schema_report
 from costflow.operators.distribute import distribute_sorted, partition_sizes, rebalance, spread
 from costflow.operators.flatten import flatten_append, flatten_in_place
-from costflow.operators.layout import partition_last
+from costflow.operators.layout import cluster_by_all, partition_last
 from costflow.operators.names import lowercase_nested, lowercase_top
-from costflow.plans.chain import load_periods, load_replace, load_replace_sql, standardize
-from costflow.plans.feed import generate_feed
-from costflow.plans.health import health_check
+from costflow.plans.chain import flattened, load_periods, load_replace, load_replace_sql, standardize
+from costflow.plans.feed import feed_of
+from costflow.plans.health import file_health, health_check
+from costflow.plans.quarantine import load_quarantined
+from costflow.plans.report import load_checked
+from costflow.plans.restart import run_stages
 from costflow.scratch import scratch_dir
-from costflow.sinks.files import overwrite_parquet, preview, write_text
+from costflow.sinks.files import overwrite_parquet, preview, write_report, write_text
 from costflow.sinks.runlog import RunLog
-from costflow.sinks.table import TableSink
+from costflow.sinks.table import FILE_SIZE, TableSink, create_database, list_tables, table_exists
 from costflow.sources.files import file_attributes, file_inventory
+from costflow.sources.footers import file_footers
 from costflow.sources.parquet import (
     row_count,
     scan_folder,
     scan_periods,
     scan_recursive,
     scan_table,
+    scan_widened,
     with_source_file,
 )
 from costflow.sources.text import scan_lines, scan_statements
@@ -462,6 +469,30 @@ def scan_drifting_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_periods(spark, path, ["odd", "even"]).select("event_id", "user_id", "event_type", "value")
 
 
+@registered("""
+WITH mixed AS (SELECT event_id, ts, value, date_diff('week', DATE '2024-01-01', CAST(ts AS DATE)) % 3 AS kind FROM events)
+SELECT event_id, CAST(CASE kind WHEN 0 THEN floor(value) ELSE CAST(value AS DECIMAL(12,2)) END AS DOUBLE) AS value,
+  CASE kind WHEN 0 THEN 'whole' WHEN 1 THEN 'double' ELSE 'text' END AS kind,
+  CASE kind WHEN 0 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE date_trunc('second', ts) END AS at,
+  CASE kind WHEN 0 THEN NULL ELSE event_id % 7 END AS part FROM mixed""")
+def scan_disagreeing_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks whose files hold one column as whole numbers, doubles and texts, and others as dates and times, in one scan."""
+    path = scratch_dir(spark, "types")
+    events = inputs.dated_events(spark, sf_dir)
+    week = F.floor(F.datediff(F.date_trunc("week", "partitiondate"), F.lit(date(2024, 1, 1))) / 7)
+    money, stamp = F.col("value").cast("decimal(12,2)"), F.date_trunc("second", "ts").cast("timestamp_ntz")
+    part = F.col("event_id") % 7
+    kinds = [
+        [F.floor("value").cast("int").alias("value"), F.lit("whole").alias("kind"), F.col("partitiondate").alias("at")],
+        [money.cast("double").alias("Value"), F.lit("double").alias("kind"), stamp.alias("at"), part.cast("int").alias("part")],
+        [money.cast("string").alias("value"), F.lit("text").alias("kind"), stamp.alias("at"), part.cast("bigint").alias("part")],
+    ]
+    for n, columns in enumerate(kinds):
+        events.where(F.pmod(week, F.lit(3)) == n).select("event_id", *columns, "partitiondate").write.partitionBy("partitiondate").parquet(f"{path}/{n}")
+    scanned = scan_widened(spark, path)
+    return scanned.select("event_id", F.col("value").cast("double").alias("value"), "kind", "at", "part")
+
+
 @registered("SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts written as text files and scanned as lines."""
@@ -470,38 +501,74 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_lines(spark, path)
 
 
-@registered("SELECT o_orderkey, true AS has_path, true AS has_size FROM orders")
+@registered("SELECT o_orderkey, 'orders.parquet' AS file_name, true AS has_size FROM orders")
 def row_file_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_source_file(table(spark, sf_dir, "orders")).select(
-        "o_orderkey",
-        F.col("file_path").contains("orders.parquet").alias("has_path"),
-        (F.col("file_size") > 0).alias("has_size"),
-    )
+    """The file each row came from; its size and time are those of the inventory."""
+    files = file_attributes(spark, f"{sf_dir}/orders.parquet").select("length", F.col("modified"))
+    rows = with_source_file(table(spark, sf_dir, "orders"))
+    # The inventory is one row here, which makes the join a lookup.
+    known = rows.join(F.broadcast(files), [F.col("file_size") == F.col("length"), F.col("file_modified") == F.col("modified")], "left")
+    return known.select("o_orderkey", F.regexp_extract("file_path", "[^/]+$", 0).alias("file_name"), F.col("length").isNotNull().alias("has_size"))
+
+
+def keys_as_text(spark: SparkSession, sf_dir: str) -> str:
+    """The order keys as lines of text: seven files a folder, a folder for each priority."""
+    path = scratch_dir(spark, "keys")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("value"), F.substring("o_orderpriority", 1, 1).alias("level"))
+    slot = F.pmod(F.xxhash64("value"), F.lit(7))
+    # One task a slot; with hundreds of keys a level, each folder gets a file from every one of the seven.
+    dealt = orders.withColumn("slot", slot.cast("int")).repartitionById(7, "slot").drop("slot")
+    dealt.write.partitionBy("level").option("compression", "none").text(path)
+    return path
+
 
+_KEY_BYTES_SQL = """
+SELECT substr(o_orderpriority, 1, 1) AS level, CAST(7 AS BIGINT) AS n_files, CAST(sum(strlen(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS total_bytes
+FROM orders GROUP BY level"""
 
-@registered()
+
+@registered(f"""
+WITH total AS (SELECT CAST(sum(n_files) AS BIGINT) AS n_files, CAST(sum(total_bytes) AS BIGINT) AS total_bytes FROM ({_KEY_BYTES_SQL}))
+SELECT n_files, total_bytes, CASE WHEN total_bytes < 1024 THEN printf('%.2f B', total_bytes / 1.0::DOUBLE)
+  WHEN total_bytes < 1048576 THEN printf('%.2f KB', total_bytes / 1024.0::DOUBLE)
+  ELSE printf('%.2f MB', total_bytes / 1048576.0::DOUBLE) END AS total_size FROM total""")
 def file_inventory_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_inventory(spark, sf_dir)
+    """Files and bytes below a folder, at any depth, in one row."""
+    return file_inventory(spark, keys_as_text(spark, sf_dir), suffix=".txt").drop("path")
 
 
-@registered()
+@registered(f"SELECT level, unnest(range(n_files)) AS file_no, true AS named, true AS fresh FROM ({_KEY_BYTES_SQL})")
 def file_attribute_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_attributes(spark, sf_dir)
+    """One row per file: its folder, its number there, and whether name and time are those of a file just written."""
+    files = file_attributes(spark, keys_as_text(spark, sf_dir), suffix=".txt")
+    level = F.regexp_extract("path", "level=([^/]+)/", 1)
+    number = F.row_number().over(Window.partitionBy("level").orderBy("path")) - 1
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("modified")
+    listed = files.select(level.alias("level"), "path", F.col("path").rlike("/part-[0-9]{5}-[^/]*[.]txt$").alias("named"), age.between(-60, 3600).alias("fresh"))
+    return listed.select("level", number.cast("bigint").alias("file_no"), "named", "fresh")
+
+
+@registered(f"SELECT level AS folder, n_files, total_bytes FROM ({_KEY_BYTES_SQL})")
+def file_inventory_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and bytes of the files of each folder, from their attributes alone."""
+    level = F.regexp_extract("path", "level=([^/]+)/", 1)
+    return (
+        file_attributes(spark, keys_as_text(spark, sf_dir), suffix=".txt")
+        .groupBy(level.alias("folder"))
+        .agg(F.count("*").alias("n_files"), F.sum("length").alias("total_bytes"))
+    )
 
 
 @registered(f"""
-SELECT DISTINCT CAST(partitiondate AS VARCHAR) AS folder, true AS has_files, true AS has_bytes
-FROM ({DATED_EVENTS_SQL})""")
+SELECT CAST(partitiondate AS VARCHAR) AS folder, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows
+FROM ({DATED_EVENTS_SQL}) GROUP BY partitiondate""")
 def file_inventory_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files per date folder, and the rows that their footers tell, without reading one."""
     path = scratch_dir(spark, "by_date")
-    events = rebalance(inputs.dated_events(spark, sf_dir), "partitiondate")
+    events = inputs.dated_events(spark, sf_dir).repartition(8, "partitiondate")
     overwrite_parquet(events, path, "partitiondate")
     folder = F.regexp_extract("path", "partitiondate=([^/]+)/", 1)
-    return (
-        file_attributes(spark, path)
-        .groupBy(folder.alias("folder"))
-        .agg((F.count("*") > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes"))
-    )
+    return file_footers(spark, path).groupBy(folder.alias("folder")).agg(F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows"))
 
 
 @registered("""
@@ -577,6 +644,84 @@ def write_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, sink.table)
 
 
+@registered("SELECT o_orderkey, o_custkey, 3 AS version FROM orders")
+def replace_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions behind one view; older ones are purged but for the last."""
+    sink = fresh_sink(spark, "versioned", versioned=True)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    for version in (1, 2, 3):
+        sink.replace(orders.withColumn("version", F.lit(version)))
+    sink.purge(spark, keep=1)
+    return scan_table(spark, sink.table)
+
+
+@registered("""
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS partitiondate, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
+  true AS fewer_files FROM orders GROUP BY 1""")
+def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine loads leave nine small files a month; after packing there is one, with the same rows."""
+    sink = fresh_sink(spark, "compacted", properties={FILE_SIZE: str(8 << 20)})
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.trunc(F.col("o_orderdate").cast("date"), "month").alias("partitiondate"))
+    for n in range(9):
+        sink.create_or_append(orders.where(F.col("o_orderkey") % 9 == n))
+    sink.compact(spark)
+    packed = scan_table(spark, sink.table).withColumn("file", F.col("_metadata.file_path"))
+    return packed.groupBy("partitiondate").agg(
+        F.count("*").alias("row_count"), F.sum("o_orderkey").alias("key_sum"), (F.count_distinct("file") == 1).alias("fewer_files")
+    )
+
+
+@registered("SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, true AS fewer FROM lineitem WHERE l_suppkey * 10 <= (SELECT max(s_suppkey) FROM supplier)")
+def clustered_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter for a tenth of the second column of the layout; `fewer`: its rows are in under half of the files."""
+    path = scratch_dir(spark, "clustered")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    cluster_by_all(lines, ["l_orderkey", "l_suppkey"], 16).write.parquet(path)
+    most = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).first()[0] // 10
+    found = scan_folder(spark, path).where(F.col("l_suppkey") <= most)
+    files = found.select(F.count_distinct(F.col("_metadata.file_path")).alias("n"))
+    return found.join(F.broadcast(files.select((F.col("n") * 2 < 16).alias("fewer"))))
+
+
+@registered("""
+SELECT * FROM (VALUES ('write.target-file-size-bytes', '1048576'), ('write.parquet.compression-codec', 'snappy'), ('codec of files', 'snappy')) AS v(key, value)
+WHERE (SELECT count(*) FROM customer) > 0""")
+def table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of a table on the built-in backend, and the codec its files are named for."""
+    given = {FILE_SIZE: str(1 << 20), "write.parquet.compression-codec": "snappy"}
+    sink = fresh_sink(spark, "properties", properties=given)
+    sink.replace(table(spark, sf_dir, "customer"))
+    listed = spark.sql(f"SHOW TBLPROPERTIES {sink.table}").where(F.col("key").isin(*given))
+    codec = F.regexp_extract(F.col("_metadata.file_path"), "[.]([a-z]+)[.]parquet$", 1)
+    written = scan_table(spark, sink.table).select(F.lit("codec of files").alias("key"), codec.alias("value")).distinct()
+    return listed.select("key", "value").unionByName(written)
+
+
+@registered("""
+SELECT 'region' AS table_name, true AS found, count(*) AS row_count FROM region
+UNION ALL SELECT 'nation', true, count(*) FROM nation UNION ALL SELECT 'report', true, CAST(2 AS BIGINT)
+UNION ALL SELECT 'customer', false, NULL""")
+def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new database, two tables in it found by pattern, one that is not there, and a text report of both."""
+    database = f"costflow_{uuid.uuid4().hex[:12]}"
+    create_database(spark, database, scratch_dir(spark, "database"))
+    for name in ("region", "nation"):
+        TableSink(f"{database}.load_{name}").replace(table(spark, sf_dir, name))
+    listed = list_tables(spark, database, "load_*").select(F.col("tableName").alias("name"))
+    parts = [
+        table_of.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), F.lit(table_exists(spark, f"{database}.load_{name}")).alias("found"), "row_count")
+        for name in ("region", "nation")
+        for table_of in [spark.table(f"{database}.load_{name}")]
+    ]
+    report = scratch_dir(spark, "report")
+    write_report(spark, [row["name"] for row in listed.orderBy("name").collect()], report)
+    lines = scan_lines(spark, report).where(F.col("value").startswith("load_"))
+    parts.append(lines.agg(F.count("*").alias("row_count")).select(F.lit("report").alias("table_name"), (F.col("row_count") > 0).alias("found"), "row_count"))
+    missing = table_exists(spark, f"{database}.load_customer")
+    parts.append(spark.range(1).select(F.lit("customer").alias("table_name"), F.lit(missing).alias("found"), F.lit(None).cast("bigint").alias("row_count")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @registered("SELECT count(*) AS row_count FROM events")
 def table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = fresh_sink(spark, "count")
@@ -604,27 +749,60 @@ def replace_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(load_periods(spark, [periods[0], periods[-1]], target, sink))
 
 
+class CutOff(TableSink):
+    """A sink whose driver dies after the first batch is written and before the stream notes it."""
+
+    def replace_batch(self, df: DataFrame, batch: str) -> None:
+        super().replace_batch(df, batch)
+        raise RuntimeError("cut off")
+
+
+def arrive_in_lots(spark: SparkSession, feed: DataFrame, sink: TableSink, lots: list[DataFrame]) -> DataFrame:
+    """Load lots of files one after the other; the first attempt at each is cut off after its write."""
+    source, checkpoint = scratch_dir(spark, "arrivals"), scratch_dir(spark, "ingest_checkpoint")
+    target = target_from_text(spark, EVENT_FEED_DDL)
+    dying = CutOff(sink.table, sink.location)
+    for n, lot in enumerate(lots):
+        rebalance(lot, "PartitionDate").write.parquet(f"{source}/lot{n}")
+        try:
+            ingest_new_files(spark, source, target, dying, checkpoint)
+        except StreamingQueryException:
+            pass
+        taken = ingest_new_files(spark, source, target, sink, checkpoint)
+    return taken
+
+
+def halves(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The earlier and the later weeks of the feed."""
+    weeks = inputs.weeks_of(feed, "PartitionDate")
+    half = F.lit(weeks[len(weeks) // 2])
+    return feed.where(F.col("PartitionDate") < half), feed.where(F.col("PartitionDate") >= half)
+
+
 @registered(TYPED_EVENT_SQL)
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The weeks arrive in two lots; the stream takes each file once."""
+    """Weeks in two lots into the table; each batch is cut off once between its write and its commit."""
     feed = inputs.event_feed(spark, sf_dir)
-    weeks = inputs.weeks_of(feed, "PartitionDate")
-    half = weeks[len(weeks) // 2]
-    source, output = scratch_dir(spark, "arrivals"), scratch_dir(spark, "ingested")
-    checkpoint = scratch_dir(spark, "ingest_checkpoint")
-    target = target_from_text(spark, EVENT_FEED_DDL)
-    lots = [F.col("PartitionDate") < F.lit(half), F.col("PartitionDate") >= F.lit(half)]
-    for n, lot in enumerate(lots):
-        rebalance(feed.where(lot), "PartitionDate").write.parquet(f"{source}/lot{n}")
-        taken = ingest_new_files(spark, source, feed.schema, target, output, checkpoint)
-    return plain(taken)
+    return plain(arrive_in_lots(spark, feed, fresh_sink(spark, "ingested"), list(halves(feed))))
+
+
+@registered(f"""
+WITH half AS (SELECT min(m) + INTERVAL 7 DAY * ((date_diff('day', min(m), max(m)) // 7 + 1) // 2) AS day
+  FROM (SELECT date_trunc('week', partitiondate) AS m FROM ({TYPED_EVENT_SQL})))
+SELECT f.* EXCLUDE (eventtype), CASE WHEN partitiondate >= half.day THEN eventtype END AS eventtype,
+  CASE WHEN partitiondate >= half.day THEN CAST(value AS DOUBLE) * 2 END AS twice FROM ({TYPED_EVENT_SQL}) f, half""")
+def incremental_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second lot brings two columns that the first lacks; they are null in the rows before."""
+    feed = inputs.event_feed(spark, sf_dir)
+    early, late = halves(feed)
+    lots = [early.drop("EventType"), late.withColumn("Twice", F.col("Value").cast("decimal(12,2)").cast("double") * 2)]
+    return plain(arrive_in_lots(spark, feed, fresh_sink(spark, "drifted"), lots))
 
 
 # -- feeds, logs and checks ----------------------------------------------------
 
 
 @registered("""
-WITH ids AS (SELECT unnest(range((SELECT count(*) FROM orders))) AS i)
 SELECT i AS record_id, 'ok' AS status, 'acct-' || i AS accountid,
        DATE '2025-09-01' + CAST(i % 30 AS INTEGER) AS partitiondate,
        i * 0.01::DOUBLE AS costcurrencyvendorusd_adjustedamortizedcost,
@@ -633,11 +811,11 @@ SELECT i AS record_id, 'ok' AS status, 'acct-' || i AS accountid,
        i * 0.03::DOUBLE AS costcurrencyvendorraw_adjustedamortizedcost,
        i * 0.04::DOUBLE AS costcurrencyvendorraw_cost,
        'USD' AS costcurrencyvendorraw_currencycode
-FROM ids""")
+FROM (SELECT o_orderkey AS i FROM orders)""")
 def generated_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated rows as there are orders, flattened."""
-    rows = table(spark, sf_dir, "orders").count()
-    return flatten_append(generate_feed(spark, rows, partitions=16))
+    """A generated row for each order, by its key, flattened."""
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("record_id"))
+    return flatten_append(feed_of(keys))
 
 
 @registered("""
@@ -675,6 +853,109 @@ def input_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health_check(spark, given).drop("problem")
 
 
+CHECKED_DDL = """CREATE TABLE LANDING.CHECKED (
+  "EventId" BIGINT, "PartitionDate" DATE, "Stamp" TIMESTAMP_NTZ, "Code" BIGINT, "Value" NUMBER(4,2),
+  "Props" DOUBLE, "Vendor" VARCHAR, "Shape" GEOGRAPHY, "UserId" VARCHAR);"""
+
+
+def faulty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` with texts that are no numbers, numbers too large, and epochs out of range."""
+    code = F.when(F.col("event_id") % 3 == 0, F.col("event_type")).when(F.col("event_id") % 3 == 1, F.col("user_id").cast("string"))
+    stamp = F.when(F.col("event_id") % 10 == 0, F.lit(5)).otherwise(inputs.epoch_of("ts", "(event_id % 4)"))
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("EventId"),
+        F.col("ts").cast("date").alias("PartitionDate"),
+        stamp.alias("Stamp"),
+        code.alias("Code"),
+        F.col("value").alias("Value"),
+        F.when(F.col("event_id") % 2 == 0, F.col("props")).alias("Props"),
+        F.col("user_id").alias("UserId"),
+        F.col("event_type").alias("EventType"),
+    )
+
+
+FAULTY_SQL = """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type WHEN event_id % 3 = 1 THEN CAST(user_id AS VARCHAR) END AS code,
+  CASE WHEN event_id % 2 = 0 THEN props END AS props, value, user_id, event_type FROM events"""
+
+
+@registered(f"""
+WITH feed AS ({FAULTY_SQL}), n AS (SELECT count(*) AS rows, count(code) AS code, count(props) AS props, count(value) AS value,
+  count(code) - count(TRY_CAST(code AS BIGINT)) AS bad_code, count(props) - count(TRY_CAST(props AS DOUBLE)) AS bad_props,
+  count(value) - count(TRY_CAST(value AS DECIMAL(4,2))) AS bad_value, count(*) FILTER (WHERE event_id % 10 = 0) AS bad_stamp FROM feed)
+SELECT v.name, v.source_type, v.target_type, v.status, v.recognized, CASE WHEN status <> 'missing' THEN rows END AS row_count,
+  CASE v.name WHEN 'code' THEN code WHEN 'props' THEN props WHEN 'value' THEN value WHEN 'vendor' THEN NULL WHEN 'shape' THEN NULL ELSE rows END AS filled,
+  CASE v.name WHEN 'code' THEN bad_code WHEN 'props' THEN bad_props WHEN 'value' THEN bad_value WHEN 'stamp' THEN bad_stamp
+    WHEN 'vendor' THEN NULL WHEN 'shape' THEN NULL ELSE 0 END AS rejected
+FROM n, (VALUES ('eventid', 'bigint', 'bigint', 'same', true), ('partitiondate', 'date', 'date', 'same', true),
+  ('stamp', 'bigint', 'timestamp_ntz', 'epoch', true), ('code', 'string', 'bigint', 'cast', true),
+  ('value', 'double', 'decimal(4,2)', 'cast', true), ('props', 'string', 'double', 'cast', true),
+  ('vendor', NULL, 'string', 'missing', true), ('shape', NULL, 'string', 'missing', false),
+  ('userid', 'bigint', 'string', 'cast', true), ('eventtype', 'string', NULL, 'extra', NULL)) AS v(name, source_type, target_type, status, recognized)""")
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load did to each column: missing, extra, of unknown type, and values that do not fit; one pass."""
+    return load_checked(spark, faulty_feed(spark, sf_dir), target_from_text(spark, CHECKED_DDL), fresh_sink(spark, "checked"), on_drift="fill")
+
+
+@registered(f"""
+WITH feed AS ({FAULTY_SQL}), judged AS (SELECT event_id, array_to_string([r for r in [
+    CASE WHEN event_id % 10 = 0 THEN 'stamp: bigint does not fit timestamp_ntz' END,
+    CASE WHEN code IS NOT NULL AND TRY_CAST(code AS BIGINT) IS NULL THEN 'code: string does not fit bigint' END,
+    CASE WHEN value IS NOT NULL AND TRY_CAST(value AS DECIMAL(4,2)) IS NULL THEN 'value: double does not fit decimal(4,2)' END,
+    CASE WHEN props IS NOT NULL AND TRY_CAST(props AS DOUBLE) IS NULL THEN 'props: string does not fit double' END] if r IS NOT NULL], '; ') AS reasons FROM feed)
+SELECT event_id, reasons <> '' AS rejected, CASE WHEN reasons <> '' THEN reasons END AS reasons FROM judged""")
+def reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the feed once: in the table, or in the quarantine with all its reasons; one pass, one write."""
+    target = target_from_text(spark, CHECKED_DDL)
+    good, bad = load_quarantined(spark, faulty_feed(spark, sf_dir), target, fresh_sink(spark, "good"), fresh_sink(spark, "bad"))
+    kept = good.select(F.col("eventid").alias("event_id"), F.lit(False).alias("rejected"), F.lit(None).cast("string").alias("reasons"))
+    aside = bad.select(F.get_json_object("raw", "$.eventid").cast("bigint").alias("event_id"), F.lit(True).alias("rejected"), F.array_join("reasons", "; ").alias("reasons"))
+    return kept.unionByName(aside)
+
+
+@registered(f"SELECT *, CAST(1 AS BIGINT) AS reads FROM ({TYPED_COST_SQL})")
+def resumed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that dies in its last stage and is run again: the source is opened once, the first stages run once."""
+    source, folder = scratch_dir(spark, "resumed_source"), scratch_dir(spark, "resumed")
+    overwrite_parquet(inputs.cost_feed(spark, sf_dir), source)
+    target = target_from_text(spark, COST_FEED_DDL)
+    log = RunLog(spark, scratch_dir(spark, "resumed_log"))
+    attempts = {"read": 0, "last": 0}
+
+    def read(path: str) -> DataFrame:
+        attempts["read"] += 1
+        return scan_recursive(spark, path)
+
+    def last(df: DataFrame) -> DataFrame:
+        attempts["last"] += 1
+        if attempts["last"] == 1:
+            raise RuntimeError("cut off")
+        return conform(df, target)
+
+    stages = [("flatten", flattened), ("conform", last)]
+    for _ in range(2):
+        try:
+            done = run_stages(spark, source, read, stages, folder, COST_FEED_DDL, log)
+        except RuntimeError:
+            pass
+    return plain(done).withColumn("reads", F.lit(attempts["read"]).cast("bigint"))
+
+
+@registered("""
+SELECT 'lot' || o_orderkey % 3 AS lot, count(*) AS n_rows, count(*) AS rows_read, true AS ok, false AS named FROM orders GROUP BY 1
+UNION ALL SELECT 'lot3', NULL, NULL, false, true""")
+def damaged_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files and the first half of a fourth: that one is named, the others are counted."""
+    path = scratch_dir(spark, "damaged")
+    orders = table(spark, sf_dir, "orders")
+    for n in range(3):
+        orders.where(F.col("o_orderkey") % 3 == n).coalesce(1).write.parquet(f"{path}/lot{n}")
+    whole = file_attributes(spark, f"{path}/lot0").first()["path"]
+    inputs.cut_off_copy(spark, whole, f"{path}/lot3/half.parquet")
+    health = file_health(spark, path, deep=True)
+    return health.select(F.regexp_extract("path", "lot[0-9]", 0).alias("lot"), "n_rows", "rows_read", "ok", F.col("problem").isNotNull().alias("named"))
+
+
 # -- the whole load ------------------------------------------------------------
 
 

@@ -216,13 +216,15 @@ class TableSink:
         if self.fmt == "iceberg":
             self._v2_writer(df, APPEND_PROPERTIES).overwrite(F.col(BATCH) == batch)
             return
-        before = set(self._parts_of(spark, batch))
-        self._overwrite(df)
+        own = self.batches(spark).where(F.col(BATCH) == batch)
+        date = self.partition_of(df)
+        before = {row[1] for row in own.collect()} if date else set()
         if before:
-            kept = spark.table(self.current(spark)).where(F.col(BATCH) == batch).select(*self._partitions_of(df)).distinct()
-            for spec in before - {tuple(row) for row in kept.collect()}:
-                named = zip(self._partitions_of(df), spec, strict=True)
-                self._empty(spark, ", ".join(f"{quote(c)} = {literal(str(v))}" for c, v in named))
+            loaded = Observation()
+            df = df.observe(loaded, F.collect_set(quote(date)).alias("days"))
+        self._overwrite(df)
+        for gone in before - set(loaded.get["days"]) if before else ():
+            self._empty(spark, f"{quote(date)} = DATE'{gone}', {quote(BATCH)} = {literal(batch)}")
 
     def batches(self, spark: SparkSession) -> DataFrame:
         """(load_batch, partition date) of every batch in the table, from its partitions alone."""
@@ -261,10 +263,12 @@ class TableSink:
         )
         plan = dealt.where("_groups < _files").drop("_size", "_files", "_groups")
         # One number per group of files, in no order; the list is as long as that of the groups.
-        groups = plan.select(*map(quote, keys), "_group").distinct().collect()
+        named = plan.select(*map(quote, keys), "_group").distinct()
+        groups = named.collect()
         if not groups:
             return 0
-        slots = spark.createDataFrame([(*row, n) for n, row in enumerate(groups)], plan.select(*map(quote, keys), "_group").schema.add("_slot", "int"))
+        schema = T.StructType([*named.schema.fields, T.StructField("_slot", T.IntegerType())])
+        slots = spark.createDataFrame([(*row, n) for n, row in enumerate(groups)], schema)
         numbered = plan.join(slots, [*keys, "_group"]).select("_path", "_slot")
         # Partition values as literals, so that the scan leaves all other partitions out.
         touched = table.where(F.col(quote(keys[0])).isin(*{row[0] for row in groups}))
@@ -448,10 +452,6 @@ class TableSink:
         inside = listed.select(day.alias("day")).where(_any_of(F.col("day"), periods))
         return {row.day for row in inside.collect()}
 
-    def _parts_of(self, spark: SparkSession, batch: str) -> list[tuple]:
-        own = self.batches(spark).where(F.col(BATCH) == batch)
-        return [(row[1], row[0]) if self.partition_col in spark.table(self.table).columns else (row[0],) for row in own.collect()]
-
     def _empty(self, spark: SparkSession, spec: str) -> None:
         """Take all rows out of one partition."""
         name = self.current(spark)

@@ -39,3 +39,8 @@ def file_inventory(spark: SparkSession, path: str, suffix: str = ".parquet") ->
         "total_bytes",
         human_bytes(F.col("total_bytes")).alias("total_size"),
     )
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

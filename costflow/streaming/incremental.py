@@ -50,11 +50,11 @@ def ingest_new_files(
     )
 
     def load(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
         paths = [row.path for row in batch.collect()]
         if paths:
-            stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-            rows = standardize(scan_widened(session, *paths), target, **policies)
+            # Read and written in the caller's session, whose view of the table is then up to date.
+            stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+            rows = standardize(scan_widened(spark, *paths), target, **policies)
             sink.replace_batch(rows, f"{stream}-{number:09d}")
 
     query = (
