@@ -162,6 +162,8 @@ def load_periods(
             found = rows.get if dated else {}
             for n, (path, first, _) in enumerate(periods):
                 mark(f"period_{first}", path, found.get(f"rows_{n}"), len(out.columns))
+            written = spark.table(sink.table).count()  # from footers
+            log.summarize("load_periods", sink.table, ",".join(p for p, _, _ in periods), sum(found.values()) if found else None, written, len(out.columns))
     return spark.table(sink.table)
 
 

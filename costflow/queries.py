@@ -656,14 +656,14 @@ def replace_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""
-SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS partitiondate, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
+SELECT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS partitiondate, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
   true AS fewer_files FROM orders GROUP BY 1""")
 def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nine loads leave nine small files a month; after packing there is one, with the same rows."""
+    """Five loads leave five small files a quarter; after packing there is one, with the same rows."""
     sink = fresh_sink(spark, "compacted", properties={FILE_SIZE: str(8 << 20)})
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.trunc(F.col("o_orderdate").cast("date"), "month").alias("partitiondate"))
-    for n in range(9):
-        sink.create_or_append(orders.where(F.col("o_orderkey") % 9 == n))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.trunc(F.col("o_orderdate").cast("date"), "quarter").alias("partitiondate"))
+    for n in range(5):
+        sink.create_or_append(orders.where(F.col("o_orderkey") % 5 == n))
     sink.compact(spark)
     packed = scan_table(spark, sink.table).withColumn("file", F.col("_metadata.file_path"))
     return packed.groupBy("partitiondate").agg(
@@ -824,22 +824,21 @@ SELECT seq, step, row_count, column_count FROM n, (VALUES
   (0, 'raw', 10), (1, 'lowercase', 10), (2, 'flatten', 14), (3, 'conform', 14), (4, 'written', 14)
 ) AS v(seq, step, column_count)""")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and columns after each stage, from the marker table."""
+    """Rows and columns after each stage, from the marker table; all counted in the pass that writes."""
     log = RunLog(spark, scratch_dir(spark, "runlog"))
     target = target_from_text(spark, COST_FEED_DDL)
-    raw = inputs.cost_feed(spark, sf_dir)
-    lower = lowercase_nested(raw)
-    flat = flatten_append(lower)
-    typed = conform(flat, target)
-    for step, df in [("raw", raw), ("lowercase", lower), ("flatten", flat), ("conform", typed)]:
-        with log.timed(step):
-            log.mark(step, row_count=df.count(), column_count=len(df.columns))
+    raw = log.watched("raw", inputs.cost_feed(spark, sf_dir))
+    lower = log.watched("lowercase", lowercase_nested(raw))
+    flat = log.watched("flatten", flatten_append(lower))
+    typed = log.watched("conform", conform(flat, target))
     sink = fresh_sink(spark, "summary")
     with log.timed("write"):
         sink.replace(typed)
+    counts = log.mark_watched()
     written = scan_table(spark, sink.table)
-    log.mark("written", sink.table, written.count(), len(written.columns))
-    log.summarize("run_summary", sink.table, sf_dir, raw.count(), written.count(), len(written.columns))
+    rows = written.count()  # from footers
+    log.mark("written", sink.table, rows, len(written.columns))
+    log.summarize("run_summary", sink.table, sf_dir, counts["raw"], rows, len(written.columns))
     return log.markers().select("seq", "step", "row_count", "column_count")
 
 

@@ -9,7 +9,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from costflow.sqltext import one_row
@@ -36,6 +36,7 @@ class RunLog:
         self.run_id = run_id or uuid.uuid4().hex
         self.timings: dict[str, float] = {}
         self._seq = 0
+        self._watched: list[tuple[str, Observation, int]] = []
         self._started = time.monotonic()
 
     def mark(
@@ -58,6 +59,24 @@ class RunLog:
         self._seq += 1
         marker.write.mode("append").parquet(f"{self.path}/markers/{self.run_id}")
 
+    def watched(self, step: str, df: DataFrame) -> DataFrame:
+        """`df`, its rows to be counted when it runs as part of a later write; see `mark_watched`."""
+        seen = Observation()
+        self._watched.append((step, seen, len(df.columns)))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def mark_watched(self) -> dict[str, int]:
+        """A marker for each watched stage, from the one pass that ran them all.
+
+        Rows that a lost executor made Spark repeat are counted again; compare the
+        last stage with the footers of what was written.
+        """
+        counts = {step: (seen.get["rows"], width) for step, seen, width in self._watched}
+        self._watched.clear()
+        for step, (rows, width) in counts.items():
+            self.mark(step, row_count=rows, column_count=width)
+        return {step: rows for step, (rows, _) in counts.items()}
+
     @contextmanager
     def timed(self, stage: str) -> Iterator[None]:
         start = time.monotonic()

@@ -51,6 +51,24 @@ def test_periods_job(spark, tmp_path, ddl):
     assert steps.where("step = 'period_2025-09-01'").count() == 2
 
 
+def test_jobs_that_check_split_ingest_and_pack(spark, tmp_path, ddl, capsys):
+    feed, table = str(tmp_path / "feed"), f"t_{uuid.uuid4().hex[:8]}"
+    run(spark, parse(["generate", "--output", feed, "--rows", "60", "--files", "4"]))
+    common = lambda job, name: [job, "--source", feed, "--ddl", ddl, "--table", f"{table}_{name}", "--location", str(tmp_path / name)]
+    run(spark, parse([*common("checked", "a"), "--drift", "fill", "--max-rejected", "0", "--log", str(tmp_path / "log")]))
+    assert "vendor" in spark.table(f"{table}_a").columns and "missing" in capsys.readouterr().out
+    run(spark, parse([*common("split", "b"), "--rejects", f"{table}_bad"]))
+    assert "60 rows loaded, 0 set aside" in capsys.readouterr().out
+    for _ in range(2):
+        run(spark, parse([*common("ingest", "c"), "--checkpoint", str(tmp_path / "state")]))
+    assert spark.table(f"{table}_c").count() == 60
+    run(spark, parse(["files", "--source", feed, "--deep"]))
+    run(spark, parse(["compact", "--table", f"{table}_a", "--location", str(tmp_path / "a")]))
+    assert "0 partitions packed" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        run(spark, parse(["split", "--source", feed, "--table", "t", "--rejects", "r"]))
+
+
 def test_a_failed_load_leaves_a_marker(spark, tmp_path):
     log = RunLog(spark, str(tmp_path / "log"))
     bad = spark.sql("SELECT 'abc' AS n")
