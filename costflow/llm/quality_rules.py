@@ -22,8 +22,8 @@ MEASURES = {
 }
 #: A measure fails above the third quartile plus so many times the spread of the quartiles.
 FENCE = 4
-#: Groups of fewer documents take the thresholds of all documents.
-MIN_GROUP = 100
+#: The wider group's fence counts like so many documents beside a group's own.
+WIDER = 100
 
 
 def _hit_starts(words: Column) -> Column:
@@ -107,7 +107,11 @@ def sketches(measures: DataFrame) -> DataFrame:
 
 
 def _quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles per group: the first bucket with at least that share at or below it."""
+    """Quartiles per group: the first bucket with at least that share at or below it.
+
+    A window sorts the buckets of one group and measure: at most 512 for each
+    power of two of the measure, however many documents there are.
+    """
     names = ", ".join(keys)
     running = sketch.select(
         "*",
@@ -124,19 +128,26 @@ def _quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
 def thresholds(sketch: DataFrame) -> DataFrame:
     """One row per (lang, source): the upper fence of each measure.
 
-    Groups under MIN_GROUP documents take the fences of the merged sketch.
+    Sketches are merged step by step: source within language, language, all. Each
+    step has a fence of its own quartiles, and the one in use is the mean of it
+    and the next wider one's, weighed by its documents and WIDER. So a large group
+    stands for itself, a small one leans on its language and that on the corpus,
+    and no fence jumps when a group grows by a document.
     """
     floors = F.element_at(F.create_map(*(F.lit(x) for m, (_, f) in MEASURES.items() for x in (m, f))), F.col("measure"))
     fence = F.col("q3") + FENCE * F.greatest(F.col("q3") - F.col("q1"), floors)
-    own = _quantiles(sketch, ["lang", "source", "measure"]).withColumn("fence", fence)
-    merged = sketch.groupBy("measure", "bucket").agg(F.sum("n").alias("n"))
-    whole = _quantiles(merged, ["measure"]).select("measure", fence.alias("whole_fence"))
-    chosen = F.when(F.col("total") >= MIN_GROUP, F.col("fence")).otherwise(F.col("whole_fence"))
-    return (
-        own.join(whole, "measure")
-        .groupBy("lang", "source")
-        .agg(*(F.max(F.when(F.col("measure") == m, chosen)).alias(f"max_{m}") for m in MEASURES))
-    )
+
+    def step(keys: list[str], prefix: str) -> DataFrame:
+        merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+        found = _quantiles(merged, [*keys, "measure"])
+        return found.select(*(F.col(k).alias(prefix + k) for k in [*keys, "measure"]), F.col("total").alias(f"{prefix}n"), fence.alias(f"{prefix}fence"))
+
+    own, langs, whole = step(["lang", "source"], ""), step(["lang"], "l_"), step([], "w_")
+    leaned = lambda n, f, wider: (F.col(n) * F.col(f) + WIDER * F.col(wider)) / (F.col(n) + WIDER)
+    wide = langs.join(whole, F.col("l_measure") == F.col("w_measure")).withColumn("l_used", leaned("l_n", "l_fence", "w_fence"))
+    same = own["lang"].eqNullSafe(wide["l_lang"]) & (own["measure"] == wide["l_measure"])
+    used = own.join(wide, same).withColumn("used", leaned("n", "fence", "l_used"))
+    return used.groupBy("lang", "source").agg(*(F.max(F.when(F.col("measure") == m, F.col("used"))).alias(f"max_{m}") for m in MEASURES))
 
 
 def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
@@ -159,8 +170,8 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 
     (doc_id, lang, source, base columns, base_failed, measures, fences, kept).
     `kept` is false if `base_failed`, else whether every measure is within the
-    fence of its language and source: third quartile plus FENCE times the spread
-    of the quartiles (at least the measure's floor). Null and blank texts have no
+    fence of its language and source (`thresholds`): third quartile plus FENCE
+    times the spread of the quartiles (at least the measure's floor). Null and blank texts have no
     words and fail. Null languages and sources are groups of their own. Repeated
     rows count each. Other columns are not read. An empty table gives an empty one.
     """

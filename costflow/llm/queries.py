@@ -183,6 +183,13 @@ _QUARTILES = """max(total) AS total, min(CASE WHEN 4 * below >= total THEN bucke
 _FLOOR = "CASE measure " + " ".join(f"WHEN '{m}' THEN {f}" for m, (_, f) in _MEASURES.items()) + " END"
 
 
+def _step(name: str, keys: str) -> str:
+    """The fences of one step of merged sketches; `keys` ends in a comma."""
+    return f"""{name} AS (SELECT {keys}measure, total, q3 + {quality_rules.FENCE} * greatest(q3 - q1, {_FLOOR}) AS fence
+  FROM (SELECT {keys}measure, {_QUARTILES} FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bucket) AS below,
+    sum(n) OVER (PARTITION BY {keys}measure) AS total FROM (SELECT {keys}measure, bucket, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY ALL))"""
+
+
 @registered(rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 split AS (SELECT *, {WORDS_SQL} AS words,
@@ -201,15 +208,10 @@ measures AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS ba
 long AS ({" UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, m_{m} AS v FROM measures WHERE n_words > 0" for m in _MEASURES)}),
 sketch AS (SELECT lang, source, measure, v - v % CAST(pow(2, greatest(length(bin(v)) - 10, 0)) AS BIGINT) AS bucket, count(*) AS n
   FROM long GROUP BY ALL),
-own AS (SELECT lang, source, measure, {_QUARTILES} FROM (SELECT *,
-  sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS below,
-  sum(n) OVER (PARTITION BY lang, source, measure) AS total FROM sketch) GROUP BY ALL),
-whole AS (SELECT measure, {_QUARTILES} FROM (SELECT *, sum(n) OVER (PARTITION BY measure ORDER BY bucket) AS below,
-  sum(n) OVER (PARTITION BY measure) AS total FROM (SELECT measure, bucket, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY ALL),
-fences AS (SELECT o.lang, o.source, o.measure, CASE WHEN o.total >= {quality_rules.MIN_GROUP}
-    THEN o.q3 + {quality_rules.FENCE} * greatest(o.q3 - o.q1, {_FLOOR.replace("measure", "o.measure", 1)})
-    ELSE w.q3 + {quality_rules.FENCE} * greatest(w.q3 - w.q1, {_FLOOR.replace("measure", "o.measure", 1)}) END AS fence
-  FROM own o JOIN whole w USING (measure)),
+{_step("own", "lang, source, ")}, {_step("langs", "lang, ")}, {_step("whole", "")},
+fences AS (SELECT o.lang, o.source, o.measure, (o.total * o.fence + {quality_rules.WIDER} * ((l.total * l.fence + {quality_rules.WIDER} * w.fence)
+    / (l.total + {quality_rules.WIDER}))) / (o.total + {quality_rules.WIDER}) AS fence
+  FROM own o JOIN langs l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure JOIN whole w ON o.measure = w.measure),
 limits AS (SELECT lang, source, {", ".join(f"max(fence) FILTER (WHERE measure = '{m}') AS max_{m}" for m in _MEASURES)}
   FROM fences GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

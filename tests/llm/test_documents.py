@@ -359,6 +359,31 @@ def test_the_order_is_by_position_and_repeatable(edges):
     assert first == sorted(first) and first == [r.position for r in mixing.mix(edges).collect()]
 
 
+def test_fences_move_smoothly_with_the_size_of_a_group(spark):
+    """Two groups of 30 and 300 that differ from the corpus lean to their own values by their size."""
+    rng = np.random.default_rng(4)
+    rows = [("en", "web", int(v)) for v in rng.integers(0, 20, 5_000)]
+    rows += [("en", "forum", int(v)) for v in rng.integers(500, 520, 300)] + [("de", "forum", int(v)) for v in rng.integers(500, 520, 30)]
+    rows += [(None, None, 5)]
+    frame = spark.createDataFrame(rows, "lang string, source string, symbols long").selectExpr("*", "0L AS dup_lines", "0L AS repeats", "500L AS word_length", "10L AS n_words")
+    fences = {(r.lang, r.source): r.max_symbols for r in quality_rules.thresholds(quality_rules.sketches(frame)).collect()}
+
+    def plain(values):
+        ordered = sorted(values)
+        low, high = (ordered[-(-k * len(ordered) // 4) - 1] for k in (1, 3))
+        return high + quality_rules.FENCE * max(high - low, quality_rules.MEASURES["symbols"][1])
+
+    def leaned(keep_own, wider):
+        own = [v for row in rows if keep_own(row) for v in row[2:]]
+        return (len(own) * plain(own) + quality_rules.WIDER * wider) / (len(own) + quality_rules.WIDER)
+
+    whole = plain([v for *_, v in rows])
+    for lang, source in {row[:2] for row in rows}:
+        expected = leaned(lambda row: row[:2] == (lang, source), leaned(lambda row: row[0] == lang, whole))
+        assert fences[lang, source] == pytest.approx(expected)
+    assert fences["en", "web"] < 150 < fences["de", "forum"] < 400 < fences["en", "forum"]
+
+
 # -- 9, 10 ---------------------------------------------------------------------
 
 
