@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costflow.llm.common import map_batches, text_of
@@ -24,6 +24,8 @@ GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32
 DIGEST_BITS = 40
 #: Buckets of neighbouring ids per shuffle partition, so that hashing them stays even.
 BUCKETS_PER_PARTITION = 4
+#: Bounds that one step of the search for a bucket looks at.
+FAN = 64
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -123,13 +125,22 @@ def _pair_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _bucket_of(bounds: list[int], low: int = 0, high: int | None = None) -> Column:
-    """How many of the sorted bounds are below the id, by binary search; null counts as below all."""
-    high = len(bounds) if high is None else high
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(F.col("doc_id") > bounds[middle], _bucket_of(bounds, middle + 1, high)).otherwise(_bucket_of(bounds, low, middle))
+def _in_buckets(rows: DataFrame, bounds: list[int]) -> DataFrame:
+    """`rows` with `bucket`: how many of the sorted bounds are below the id; null counts as below all.
+
+    A search tree of arrays: each step looks at FAN bounds of one level, which
+    keeps the generated code small whatever the number of bounds.
+    """
+    levels = [bounds]
+    while len(levels[0]) > FAN:
+        levels.insert(0, levels[0][FAN - 1 :: FAN])
+    rows = rows.withColumn("bucket", F.lit(0))
+    for level in levels:
+        if level:
+            part = F.slice(F.array(*map(F.lit, level)), F.col("bucket") * FAN + 1, FAN)
+            below = F.size(F.filter(part, lambda b: b < F.col("doc_id")))
+            rows = rows.withColumn("bucket", F.col("bucket") * FAN + below)
+    return rows
 
 
 def _guards(rows: DataFrame) -> DataFrame:
@@ -173,7 +184,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / buckets for i in range(1, buckets)]
     bounds = narrow.agg(F.percentile_approx("doc_id", shares, 10 * buckets).alias("b")).first()["b"] or []
-    rows = narrow.withColumn("bucket", _bucket_of(sorted(set(bounds))))
+    rows = _in_buckets(narrow, sorted(set(bounds)))
     both = rows.withColumn("guard", F.lit(False)).unionByName(_guards(rows).withColumn("guard", F.lit(True)))
     order = [F.col("bucket"), F.col("guard"), F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
     dealt = both.repartition("bucket").sortWithinPartitions(*order).select("doc_id", "text", "guard")

@@ -26,6 +26,8 @@ NEIGHBOURS = 25
 MAX_LABELLED = 6000
 #: Similarity counts by this power, so that close neighbours outweigh the rest.
 SHARPNESS = 8
+#: Similarities this near to each other are ties, whatever the order of their sums.
+TIE = 1e-5
 THRESHOLD = 0.7
 BLOCK = 256
 
@@ -110,7 +112,7 @@ class Model:
         cosine = self.latent(counts) @ self.vectors.T
         k = min(NEIGHBOURS, len(self.labels))
         least = np.partition(cosine, -k, axis=1)[:, -k, None]
-        weight = np.where(cosine >= least, np.maximum(cosine, 0), 0).astype(np.float64) ** SHARPNESS
+        weight = np.where(cosine >= least - TIE, np.maximum(cosine, 0), 0).astype(np.float64) ** SHARPNESS
         total = weight.sum(axis=1)
         vote = weight @ self.labels
         known = (total > 1e-12) & (counts.sum(axis=1) > 0)
@@ -120,14 +122,14 @@ class Model:
 def _counts_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, labels = batch.columns
-        rows = [np.minimum(term_counts(t), 65535).astype("<u2").tobytes() for t in texts.to_pylist()]
+        rows = [term_counts(t).astype("<u4").tobytes() for t in texts.to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), labels], ["counts", "label"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled: int = MAX_LABELLED) -> Model:
     """The model from at most `max_labelled` labelled documents that are not held out.
 
-    The sample (4 KB a document) is all that the driver gathers; the term
+    The sample (8 KB a document) is all that the driver gathers; the term
     statistics cover all documents. Rows without an id or a label are left out.
     """
     usable = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("label")).dropna()
@@ -145,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled
     if not rows:
         return Model(idf, np.zeros((TERMS, LATENT), np.float32), np.zeros((0, LATENT), np.float32), np.zeros(0))
     rows.sort(key=lambda r: (bytes(r["counts"]), r["label"]))
-    counts = np.frombuffer(b"".join(bytes(r["counts"]) for r in rows), "<u2").reshape(len(rows), TERMS)
+    counts = np.frombuffer(b"".join(bytes(r["counts"]) for r in rows), "<u4").reshape(len(rows), TERMS)
     matrix = weighted(counts, idf)
     values, vectors = np.linalg.eigh(matrix.T @ matrix)
     basis = vectors[:, ::-1][:, :LATENT].astype(np.float32)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import gzip
+import hashlib
 import re
 import uuid
 from collections.abc import Iterator
@@ -77,21 +78,30 @@ def _page_number(urn: str | None) -> int | None:
 
 
 def parse(raw: bytes) -> dict:
-    """A record's fields, and its payload (None for a revisit)."""
+    """A record's fields, and its payload (None for a revisit).
+
+    Length and digest of a response are those of the payload that was read, which
+    must be the header's; a revisit has the header's alone.
+    """
     head, rest = raw.split(b"\r\n\r\n", 1)
     if not head.startswith(b"WARC/"):
         raise ValueError("no WARC record at this offset")
     fields = _fields(head)
     block = rest[: int(fields["content-length"])]
     http, payload = block.split(b"\r\n\r\n", 1)
+    told = int(_fields(http)["content-length"]), base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
+    revisit = fields["warc-type"] == "revisit"
+    size, digest = told if revisit else (len(payload), hashlib.sha1(payload).hexdigest())
+    if (size, digest) != told:
+        raise ValueError(f"{fields['warc-record-id']}: a payload of {size} bytes and digest {digest} was read, the header says {told}")
     return {
         "page_id": _page_number(fields["warc-record-id"]),
         "url": fields.get("warc-target-uri"),
         "record_type": fields["warc-type"],
         "refers_to": _page_number(fields.get("warc-refers-to")),
-        "payload_bytes": int(_fields(http)["content-length"]),
-        "payload_digest": base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex(),
-        "payload": None if fields["warc-type"] == "revisit" else payload,
+        "payload_bytes": size,
+        "payload_digest": digest,
+        "payload": None if revisit else payload,
     }
 
 

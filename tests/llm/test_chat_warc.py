@@ -65,6 +65,17 @@ def test_archives(spark, tmp_path):
     assert warc.read_records(warc.write_archives(pages.limit(0), str(tmp_path))).collect() == []
 
 
+def test_a_changed_payload_is_refused():
+    digest = hashlib.sha1(b"payload").hexdigest()
+    good = warc.record(1, "u", b"payload", digest, None, False, "2000-01-01T00:00:00Z")
+    assert warc.parse(good)["payload_bytes"] == 7 and warc.parse(good)["payload_digest"] == digest
+    for bad in (good.replace(b"payload\r\n", b"paxload\r\n"), good.replace(b"payload\r\n\r\n", b"payloa")):
+        with pytest.raises(ValueError, match="was read"):
+            warc.parse(bad)
+    revisit = warc.record(2, None, b"payload", digest, 1, True, "2000-01-01T00:00:00Z")
+    assert warc.parse(revisit)["payload"] is None and warc.parse(revisit)["payload_bytes"] == 7
+
+
 def test_ranges_join_over_small_gaps():
     gap, most = warc.GAP_BYTES, warc.READ_BYTES
     rows = [("a", 0, 10), ("a", 10, 10), ("a", 20 + gap + 1, 5), ("b", 0, most), ("b", most, 1)]

@@ -63,6 +63,47 @@ def test_fingerprints_follow_the_next_document(spark, texts):
     assert len(rows) == len(texts)
 
 
+def plain_chunks(text):
+    """Byte by byte: a chunk ends at a zero in the hash's upper bits, six before the normal size and four from it on."""
+    data, h, start, chunks = text.encode(), 0, 0, {}
+
+    def close(end):
+        nonlocal start
+        chunks[xxhash.xxh64_intdigest(data[start:end]) >> 24] = end - start
+        start = end
+
+    for i, byte in enumerate(data):
+        h = ((h << 1) + int(chunking.GEAR[byte])) & 0xFFFFFFFF
+        size = i + 1 - start
+        if size >= 8 and h >> 26 == 0 or size >= 32 and h >> 28 == 0 or size == 128:
+            close(i + 1)
+    if start < len(data):
+        close(len(data))
+    return chunks
+
+
+def plain_likeness(own, other):
+    total = sum(own.values())
+    return sum(n for d, n in own.items() if d in other) / total if total else float(not other)
+
+
+def test_fingerprints_against_bytes_one_by_one(spark, texts, setting):
+    """Also over a thousand partitions, where the ranges outnumber the documents."""
+    order = sorted(texts, reverse=True)
+    plain = {i: plain_chunks(texts[i]) for i in order}
+    for partitions in ("4", "1000"):
+        setting("spark.sql.shuffle.partitions", partitions)
+        rows = {r.doc_id: r for r in QUERIES["op1_fingerprints"](spark, "/root/testdata/sf0.001").collect()}
+        for i, doc_id in enumerate(order):
+            row, following = rows[doc_id], order[(i + 1) % len(order)]
+            assert chunking.decoded(row.fingerprint) == plain[doc_id]
+            assert row.near_next == pytest.approx(plain_likeness(plain[doc_id], plain[following]))
+            half = len(texts[doc_id]) // 2
+            edited = plain_chunks(texts[doc_id][: len(texts[doc_id]) - half] + texts[following][:half])
+            assert chunking.decoded(row.edited_fingerprint) == edited
+            assert row.near_edited == pytest.approx(plain_likeness(plain[doc_id], edited))
+
+
 def test_chunks_cover_the_text_and_resist_shifts():
     rng = np.random.default_rng(1)
     data = bytes(rng.integers(97, 123, 20_000, dtype=np.uint8))
@@ -335,6 +376,40 @@ def test_neighbours_tell_held_out_labels(spark):
     assert np.mean([r.predicted == labels[r.doc_id] for r in held]) > 0.95
 
 
+def test_votes_against_every_neighbour():
+    rng = np.random.default_rng(6)
+    n = 60
+    counts = rng.integers(0, 3, (n, neighbours.TERMS))
+    counts[:20] = counts[20:40]  # ties
+    counts[-1] = 0
+    idf = rng.random(neighbours.TERMS).astype(np.float32)
+    basis = rng.normal(size=(neighbours.TERMS, 8)).astype(np.float32)
+    labels = rng.integers(0, 2, n).astype(float)
+    empty = neighbours.Model(idf, basis, np.zeros((0, 8), np.float32), labels)
+    vectors = empty.latent(counts)
+    scores = neighbours.Model(idf, basis, vectors, labels).scores(counts)
+    for i in range(n):
+        row = np.log1p(counts[i]) * idf
+        row[neighbours.HASHED :] *= neighbours.LAG_WEIGHT
+        place = row / max(np.linalg.norm(row), 1e-12) @ basis
+        place = place / max(np.linalg.norm(place), 1e-12)
+        near = sorted(((float(sum(a * b for a, b in zip(place, v, strict=True))), k) for k, v in enumerate(vectors)), reverse=True)
+        least = near[neighbours.NEIGHBOURS - 1][0]
+        votes = [(max(c, 0) ** neighbours.SHARPNESS, labels[k]) for c, k in near if c >= least - neighbours.TIE]
+        total = sum(w for w, _ in votes)
+        expected = sum(w * y for w, y in votes) / total if counts[i].any() else labels.mean()
+        assert scores[i] == pytest.approx(expected, abs=1e-3)
+
+
+def test_a_labelled_text_is_its_own_neighbour_however_long(spark):
+    long = "abc abd " * 60_000  # counts over sixteen bits
+    rows = docs(spark, [(1, long), (2, long), (3, "xyz xyw " * 10)])
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")
+    model = neighbours.fit(rows, labels)
+    text = neighbours.term_counts(long)
+    assert model.latent(text[None]) @ model.vectors.T == pytest.approx(np.array([[1, 0]]) if model.labels[0] else np.array([[0, 1]]), abs=0.05)
+
+
 def test_neighbours_edge_cases(spark, edges):
     labels = spark.createDataFrame([(4, 1), (5, 0), (None, 1), (6, None)], "doc_id long, quality int")
     model = neighbours.fit(edges, labels)
