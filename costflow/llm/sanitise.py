@@ -32,8 +32,9 @@ VALID = {
 
 #: Terms: letters, so many at least; looked for in the whole of a text with base spans.
 TERM = r"\p{L}{4,}"
-#: A term that begins with a capital behind a word, so not because a sentence begins with it.
-NAME = r"(?<=[\p{L}\p{N},;:] )\p{Lu}\p{L}{3,}"
+#: A term that begins with a capital behind a word, so not because a sentence begins with it. The
+#: capital is looked for first, and what stands before it only then.
+NAME = r"\p{Lu}(?<=[\p{L}\p{N},;:] .)\p{L}{3,}+"
 #: So many documents at the entity's share of the corpus are added to those of a term, which draws
 #: terms of few documents a little towards telling nothing.
 PRIOR = 0.1
@@ -149,7 +150,9 @@ def places(held: DataFrame) -> DataFrame:
     Spans and terms of a text are put in one order; a term is apart if all spans
     before it end before it and the next one begins behind it.
     """
-    found = held.select("mark", "text", "base", matches(F.col("text"), TERM).alias("found"))
+    # Dealt by text before the work begins; the windows below need no other order of tasks.
+    dealt = held.repartition(int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")), "mark")
+    found = dealt.select("mark", "text", "base", matches(F.col("text"), TERM).alias("found"))
     steps = found.select("mark", "base", steps_of(F.col("text"), F.col("found"), TERM).alias("steps"))
     term = lambda t: F.struct(t["start"].alias("start"), F.lit(1).alias("late"), t["end"].alias("end"), F.lower(t["value"]).alias("term"))
     span = lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("late"), s["end"].alias("end"), F.lit(None).cast("string").alias("term"))
@@ -185,16 +188,20 @@ def corpus_terms(texts: DataFrame) -> DataFrame:
     A name is never in lower case, and somewhere has a capital inside a sentence.
     `n_alike` counts the terms that as many texts hold and that are names or not as well.
     """
-    seen = F.array_distinct(matches(F.col("text"), TERM))
-    lower = lambda x: F.lower(x)
-    tagged = lambda terms, kind: F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(kind).alias("kind")))
-    small = F.filter("seen", lambda x: x == F.lower(x))
-    names = F.transform(matches(F.col("text"), NAME), lower)
-    each = texts.select("text", seen.alias("seen")).select(
-        F.explode(F.concat(tagged(F.transform("seen", lower), 0), tagged(small, 1), tagged(names, 2))).alias("at")
+    # Every term of a text is one row; a sign at its end says that it has a capital wherever it stands
+    # there, and where (1 at the start of sentences, 2 inside). Plain strings are quick to count.
+    found = texts.select(F.array_distinct(matches(F.col("text"), TERM)).alias("said"), matches(F.col("text"), NAME).alias("named"))
+    found = found.select("said", F.filter("said", lambda x: x == F.lower(x)).alias("small"), F.transform("named", F.lower).alias("named"))
+    capital = F.array_except(F.transform(F.array_except("said", "small"), F.lower), F.col("small"))
+    found = found.select("small", capital.alias("capital"), "named")
+    signed = lambda terms, sign: F.transform(terms, lambda t: F.concat(t, F.lit(sign)))
+    inside, outside = F.array_intersect("capital", "named"), F.array_except("capital", "named")
+    each = found.select(F.explode(F.concat("small", signed(outside, "1"), signed(inside, "2"))).alias("at"))
+    counted = each.groupBy("at").agg(F.count("*").alias("n"))
+    sign = F.regexp_extract("at", "[12]$", 0)
+    counts = counted.groupBy(F.rtrim("at", F.lit("12")).alias("term")).agg(
+        F.sum("n").alias("n_term"), (F.bool_and(sign != "") & F.bool_or(sign == "2")).alias("name")
     )
-    kinds = [F.count_if(F.col("at.kind") == k) for k in range(3)]
-    counts = each.groupBy("at.term").agg(kinds[0].alias("n_term"), ((kinds[1] == 0) & (kinds[2] > 0)).alias("name"))
     alike = counts.groupBy("n_term", "name").agg(F.count("*").alias("n_alike"))
     return counts.join(alike, ["n_term", "name"]).select("term", "n_term", "n_alike", "name")
 
