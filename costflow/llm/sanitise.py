@@ -190,14 +190,14 @@ def corpus_terms(texts: DataFrame) -> DataFrame:
     """
     # Every term of a text is one row; a sign at its end says that it has a capital wherever it stands
     # there, and where (1 at the start of sentences, 2 inside). Plain strings are quick to count.
-    found = texts.select(F.array_distinct(matches(F.col("text"), TERM)).alias("said"), matches(F.col("text"), NAME).alias("named"))
-    found = found.select("said", F.filter("said", lambda x: x == F.lower(x)).alias("small"), F.transform("named", F.lower).alias("named"))
-    capital = F.array_except(F.transform(F.array_except("said", "small"), F.lower), F.col("small"))
-    found = found.select("small", capital.alias("capital"), "named")
+    every = lambda text, pattern: F.array_distinct(matches(text, pattern))
+    named = F.split(F.lower(F.array_join(matches(F.col("text"), NAME), " ")), " ")
+    found = texts.select(every(F.col("text"), TERM).alias("said"), every(F.lower("text"), TERM).alias("low"), named.alias("named"))
+    found = found.select(F.array_intersect("low", "said").alias("small"), F.array_except("low", "said").alias("capital"), "named")
     signed = lambda terms, sign: F.transform(terms, lambda t: F.concat(t, F.lit(sign)))
     inside, outside = F.array_intersect("capital", "named"), F.array_except("capital", "named")
     each = found.select(F.explode(F.concat("small", signed(outside, "1"), signed(inside, "2"))).alias("at"))
-    counted = each.groupBy("at").agg(F.count("*").alias("n"))
+    counted = written(each.groupBy("at").agg(F.count("*").alias("n")), "terms")
     sign = F.regexp_extract("at", "[12]$", 0)
     counts = counted.groupBy(F.rtrim("at", F.lit("12")).alias("term")).agg(
         F.sum("n").alias("n_term"), (F.bool_and(sign != "") & F.bool_or(sign == "2")).alias("name")
