@@ -27,6 +27,7 @@ TABLE_KEYS = {
     "conversations": "conv_id",
 }
 
+# The column names of the cost feed and the types of their families; the table's name is made up.
 COST_FEED_DDL = """create or replace TABLE LANDING.COST_FEED cluster by ("UsageStartTime")(
 	"CostCurrencyVendorUSD_AdjustedAmortizedCost" FLOAT,
 	"CostCurrencyVendorUSD_Cost" FLOAT,

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 ANCHOR = date(2025, 9, 1)
 
-# The generated feed covers this many dates.
+# What a generated row holds, so that feeds agree: a status, an account by its number,
+# one of 30 dates, and for each cost struct the factors of its two amounts and the currency.
 DAYS = 30
+STATUS, ACCOUNT, CURRENCY = "ok", "acct-", "USD"
+USD_FACTORS, RAW_FACTORS = (0.01, 0.02), (0.03, 0.04)
 
 
 def generate_feed(
@@ -32,16 +35,16 @@ def feed_of(ids: DataFrame, anchor: date = ANCHOR) -> DataFrame:
         return F.struct(
             (i * F.lit(adjusted)).alias("adjustedamortizedcost"),
             (i * F.lit(cost)).alias("cost"),
-            F.lit("USD").alias("currencycode"),
+            F.lit(CURRENCY).alias("currencycode"),
         )
 
     return ids.withColumns(
         {
-            "status": F.lit("ok"),
-            "accountid": F.concat(F.lit("acct-"), i.cast("string")),
+            "status": F.lit(STATUS),
+            "accountid": F.concat(F.lit(ACCOUNT), i.cast("string")),
             "partitiondate": F.date_add(F.lit(anchor), (i % DAYS).cast("int")),
-            "costcurrencyvendorusd": costs(0.01, 0.02),
-            "costcurrencyvendorraw": costs(0.03, 0.04),
+            "costcurrencyvendorusd": costs(*USD_FACTORS),
+            "costcurrencyvendorraw": costs(*RAW_FACTORS),
         }
     )
 
