@@ -32,7 +32,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Lets Python workers import this package, also if the driver runs elsewhere."""
+    """Lets Python workers import this package where driver and workers see the same folder.
+
+    On a cluster without such a folder install the package on all machines, or
+    hand it to spark-submit as a zip with --py-files.
+    """
     environment = spark.sparkContext.environment
     environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
