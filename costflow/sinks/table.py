@@ -7,6 +7,7 @@ operations are composed from what the session catalog offers.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
@@ -52,6 +53,8 @@ ASIDE = "__aside"
 VERSION = "__v_"
 #: Partition column behind the date that names the batch of rows loaded by `replace_batch`.
 BATCH = "load_batch"
+#: The folder level of rows that a load set aside.
+SET_ASIDE = "rejected=true"
 #: The property that the built-in backend heeds for the size of files.
 FILE_SIZE = "write.target-file-size-bytes"
 CODEC = "write.parquet.compression-codec"
@@ -210,7 +213,7 @@ class TableSink:
         spark = df.sparkSession
         df = self._prepared(df).withColumn(BATCH, F.lit(batch))
         if not table_exists(spark, self.table):
-            self._create(df)
+            self._create(df.drop(*(f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType))))
             return
         df = self._aligned(df)
         if self.fmt == "iceberg":
@@ -286,17 +289,20 @@ class TableSink:
     def purge(self, spark: SparkSession, keep: int = 1) -> int:
         """Delete the folders of replaced tables but for the `keep` newest; returns how many went.
 
-        Only folders right below this sink's own are looked at, and never the one in use.
+        Only folders right below this sink's own are looked at, never the one in use,
+        and none with rows set aside, which another table shows.
         """
-        base = spark._jvm.org.apache.hadoop.fs.Path(self._base(spark))
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        base = path(self._base(spark))
         files = base.getFileSystem(spark._jsc.hadoopConfiguration())
-        used = self._place(spark).rsplit("/", 1)[-1]
+        used = self._folder(spark, self.current(spark))
         entries = [e for e in files.listStatus(base) if e.isDirectory() and e.getPath().getName() != used]
+        entries = [e for e in entries if not files.exists(path(e.getPath(), SET_ASIDE))]
         old = sorted(entries, key=lambda e: e.getModificationTime(), reverse=True)[keep:]
         gone = {e.getPath().getName() for e in old}
         if self.versioned:
             for name in self._versions(spark):
-                if self._place(spark, name).rsplit("/", 1)[-1] in gone:
+                if self._folder(spark, name) in gone:
                     spark.sql(f"DROP TABLE {name}")
         for entry in old:
             files.delete(entry.getPath(), True)
@@ -337,13 +343,15 @@ class TableSink:
         """`df` with the table's columns; the table gets those that it lacks."""
         spark = df.sparkSession
         known = {f.name: f.dataType for f in spark.table(self.table).schema.fields}
-        given = {f.name: f.dataType for f in df.schema.fields}
+        # A column without any value has no type to keep.
+        given = {f.name: f.dataType for f in df.schema.fields if not isinstance(f.dataType, T.NullType)}
+        df = df.select(*map(quote, given))
         other = [f"{c}: {given[c].simpleString()} is not {known[c].simpleString()}" for c in given if c in known and given[c] != known[c]]
         if other:
             raise ValueError(f"{self.table}: columns of another type: {other}")
         new = [c for c in given if c not in known]
         if new:
-            columns = ", ".join(f"{quote(c)} {_plain_type(given[c]).simpleString()}" for c in new)
+            columns = ", ".join(f"{quote(c)} {given[c].simpleString()}" for c in new)
             spark.sql(f"ALTER TABLE {self.current(spark)} ADD COLUMNS ({columns})")
             if self.versioned:
                 self._show(spark, self.current(spark))
@@ -411,6 +419,11 @@ class TableSink:
         """The folder of the table, or of one of its versions."""
         return self._described(spark, name or self.current(spark), "Location").rstrip("/")
 
+    def _folder(self, spark: SparkSession, name: str) -> str:
+        """The name of the folder right below the sink's own in which the table lies."""
+        plain = lambda place: re.sub("^[A-Za-z0-9]+:/*", "/", place).rstrip("/")
+        return plain(self._place(spark, name)).removeprefix(f"{plain(self._base(spark))}/").split("/")[0]
+
     def _versions(self, spark: SparkSession) -> list[str]:
         database, dot, name = self.table.rpartition(".")
         listed = list_tables(spark, database or spark.catalog.currentDatabase(), f"{name}{VERSION}*")
@@ -475,10 +488,6 @@ def _shown(periods: Sequence[Period]) -> str:
     return ", ".join(shown) + (f" and {len(periods) - 3} more" if len(periods) > 3 else "")
 
 
-def _plain_type(kind: T.DataType) -> T.DataType:
-    return T.StringType() if isinstance(kind, T.NullType) else kind
-
-
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     place = f" LOCATION {literal(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from costflow.operators.catalog import TargetSchema, parse_ddl, target_from_catalog
 
-_STATEMENT = r"""(?:"[^"]*+"|'[^']*+'|--[^\n]*+|/\*[\s\S]*?\*/|[^;"'/-]|[/-](?![/*-])|-(?!-)|/(?!\*))++"""
+_STATEMENT = r"""(?:"[^"]*+"|'[^']*+'|--[^\n]*+|/\*[\s\S]*?\*/|[^;"'/-]++|[/-](?![/*-])|-(?!-)|/(?!\*))++"""
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -70,6 +70,13 @@ def test_batches_bring_columns_and_refuse_other_types(spark, tmp_path):
     assert spark.table(sink.table).count() == 4
 
 
+def test_columns_without_a_type_are_left_out(spark, tmp_path):
+    sink = new_sink(tmp_path)
+    for batch, value in (("a", "NULL"), ("b", "'x'"), ("c", "NULL")):
+        sink.replace_batch(spark.sql(f"SELECT 1 AS k, {value} AS v, DATE'2025-09-01' AS partitiondate"), batch)
+    assert {r[BATCH]: r.v for r in spark.table(sink.table).collect()} == {"a": None, "b": "x", "c": None}
+
+
 def test_batches_without_a_date(spark, tmp_path):
     sink = new_sink(tmp_path)
     for batch in ("a", "b", "a"):
@@ -205,6 +212,17 @@ def test_quarantine_without_bad_rows_and_again(spark, tmp_path):
         load_quarantined(spark, feed(spark).withColumn("reasons", F.lit(1)), target, good, bad)
 
 
+def test_purge_leaves_the_quarantine_alone(spark, tmp_path):
+    good, bad = new_sink(tmp_path), new_sink(tmp_path)
+    for _ in range(2):
+        load_quarantined(spark, feed(spark), TARGET, good, bad)
+    assert good.purge(spark, keep=0) == 0
+    good.replace(days(spark, "2025-09-01", 1))
+    good.replace(days(spark, "2025-09-01", 1))
+    assert good.purge(spark, keep=0) == 1
+    assert spark.table(bad.table).count() == 4 and spark.table(good.table).count() == 2
+
+
 def test_rows_whose_date_is_bad_are_set_aside(spark, tmp_path):
     source = spark.sql("SELECT id AS k, IF(id = 3, 'soon', '2025-09-01') AS partitiondate FROM range(5)")
     target = TargetSchema.of([("k", "bigint"), ("partitiondate", "date")])
