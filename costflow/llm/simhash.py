@@ -226,10 +226,15 @@ def _members(prints: DataFrame, plan: list[Part]) -> DataFrame:
 
 
 def _probes(prints: DataFrame, plan: list[Part]) -> DataFrame:
-    """(part, value, ...): every bucket within the radius of a print."""
+    """(part, value, ...): every bucket within the radius of a print, its own and those of a smaller value.
+
+    Of two prints with different values in a part, the one with the larger value
+    finds the other; the way back would find the same pair again.
+    """
     def around(part: int, x: Part) -> Column:
         own = F.col("print").bitwiseAND(F.lit(x.mask))
-        return F.transform(F.lit(x.flips()), lambda f: F.struct(F.lit(part).alias("part"), own.bitwiseXOR(f.cast("long")).alias("value")))
+        near = F.filter(F.transform(F.lit(x.flips()), lambda f: own.bitwiseXOR(f.cast("long"))), lambda v: v <= own)
+        return F.transform(near, lambda v: F.struct(F.lit(part).alias("part"), v.alias("value")))
 
     at = F.explode(F.concat(*(around(p, x) for p, x in enumerate(plan)))).alias("at")
     return prints.select("*", at).select(*prints.columns, "at.part", "at.value")
