@@ -42,6 +42,8 @@ PRIOR = 0.1
 GENERALISE, REMOVE = 0.5, 0.9
 #: Harmless terms of one kind that chance may be expected to tie to an entity as closely; see `disclosing`.
 CHANCE = 0.1
+#: Keys over which the terms of one number of texts are dealt.
+SALTS = 64
 
 
 def _digits(match: Column) -> Column:
@@ -203,7 +205,10 @@ def corpus_terms(texts: DataFrame) -> DataFrame:
         F.sum("n").alias("n_term"), (F.bool_and(sign != "") & F.bool_or(sign == "2")).alias("name")
     )
     alike = counts.groupBy("n_term", "name").agg(F.count("*").alias("n_alike"))
-    return counts.join(alike, ["n_term", "name"]).select("term", "n_term", "n_alike", "name")
+    # Half of all terms are in one text only: each number of texts is dealt over SALTS keys.
+    salted = counts.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int"))
+    alike = alike.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(alike, ["n_term", "name", "salt"]).select("term", "n_term", "n_alike", "name")
 
 
 def together(classes: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
