@@ -9,7 +9,7 @@ from costflow.llm import line_dedup, mixing, packing, quality_rules, simhash
 from costflow.llm.common import table, written
 from costflow.llm.queries import tokenizer_path
 
-#: SQL has neither XXH64 fingerprints nor a tokenizer; tests/llm checks each stage against brute force.
+#: SQL has neither XXH64 fingerprints nor a tokenizer; tests/llm/test_pipeline.py holds each stage against plain Python.
 ORACLE_SQL = None
 
 
