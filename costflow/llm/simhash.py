@@ -324,7 +324,8 @@ def one_of_each(docs: DataFrame, distance: int = 4) -> DataFrame:
         "chosen",
     )
     repeated = written(chosen.where("n > 1").select("doc_id"), "repeated")
-    once = named.join(chosen.where("n = 1").select("doc_id"), "doc_id", "left_semi")
+    # Joined alike at every size: a few ids would be broadcast, many not. A merge can spill.
+    once = named.join(chosen.where("n = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     first = first_per(named.join(repeated, "doc_id", "left_semi"), "doc_id")
     unnamed = docs.where(docs["doc_id"].isNull())
     return once.select(*docs.columns).unionByName(first.select(*docs.columns)).unionByName(unnamed)
