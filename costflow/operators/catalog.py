@@ -29,6 +29,13 @@ _NUMBER = r"^(NUMBER|DECIMAL|NUMERIC)\(0*(\d+)(?:,\s*0*(\d+))?\)"
 # A constraint word opens a constraint only before a parenthesis, KEY or a name and another such word.
 _WORDS = "|".join(CONSTRAINT_WORDS)
 _CONSTRAINT = rf"(?i)^\s*({_WORDS})\s*(\(|KEY\b|(\w+|\"[^\"]+\")\s*(\((?!\s*\d)|({_WORDS})\b))"
+# Texts with every quote closed, with parentheses to a depth of three outside of quotes, and the parts between their commas.
+_QUOTED = '"[^"]*+"'
+_NESTED = rf"\((?:{_QUOTED}|[^\"()]++)*+\)"
+for _ in range(2):
+    _NESTED = rf"\((?:{_QUOTED}|[^\"()]++|{_NESTED})*+\)"
+_PLAIN = rf"^(?:{_QUOTED}|[^\"()]++|{_NESTED})*+\z"
+_PART = rf"((?:{_QUOTED}|[^,\"()]++|{_NESTED})*+)(?:,|\z)"
 _COLUMN = r'^\s*(?:"((?:[^"]|"")+)"|(\w+))\s+([\w(),\s]*[\w(),])'
 
 
@@ -46,8 +53,9 @@ def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
         .select(
             *kept,
             F.regexp_extract("_ddl", _TABLE_NAME, 1).alias("table_name"),
-            _items(F.regexp_extract("_ddl", _BODY, 1)).alias("_items"),
+            F.regexp_extract("_ddl", _BODY, 1).alias("_body"),
         )
+        .select(*kept, "table_name", _items(F.col("_body")).alias("_items"))
         # The outer form, as the inner one would parse twice to skip empty lists;
         # the filter below drops those.
         .select(*kept, "table_name", F.posexplode_outer("_items").alias("_pos", "_item"))
@@ -64,8 +72,15 @@ def parse_ddl(statements: DataFrame, text: str = "value") -> DataFrame:
 
 
 def _items(body: Column) -> Column:
-    """The parts between commas outside quotes and parentheses, at any depth."""
+    """The parts between commas outside quotes and parentheses, at any depth.
 
+    One search finds them; an empty part may follow. Texts that `_PLAIN` leaves out are
+    put together from the pieces between any commas, at several searches a piece.
+    """
+    return F.when(body.rlike(_PLAIN), F.regexp_extract_all(body, F.lit(_PART), F.lit(1))).otherwise(_gathered(body))
+
+
+def _gathered(body: Column) -> Column:
     def complete(text: Column) -> Column:
         bare = F.regexp_replace(text, r'"[^"]*+"', "")
         count = lambda char: F.length(bare) - F.length(F.replace(bare, F.lit(char), F.lit("")))

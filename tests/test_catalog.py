@@ -142,3 +142,59 @@ def test_deep_parentheses_and_constraints(spark):
 
     ddl = "CREATE TABLE t (a INT DEFAULT (f(g(h(i(1,2),3)))), KEY VARCHAR(3), UNIQUE (a), CHECK (a > 0), PRIMARY KEY (a), b DATE)"
     assert [c.name for c in target_from_text(spark, ddl).columns] == ["a", "KEY", "b"]
+
+
+def test_one_file_is_cut_by_many_tasks(spark, setting, tmp_path):
+    from pyspark.sql import functions as F
+
+    for key, value in (("files.maxPartitionBytes", "4000"), ("files.openCostInBytes", "1"), ("adaptive.coalescePartitions.enabled", "false")):
+        setting(f"spark.sql.{key}", value)
+    texts = [f"create table T{n} (\"a; {n}\" INT, -- b; c\n D DATE COMMENT 'it''s; e')" for n in range(2000)]
+    (tmp_path / "all.sql").write_text(";\n".join(texts) + ";\n")
+    found = scan_statements(spark, str(tmp_path)).select("value", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.value.strip() for r in found) == sorted(texts)
+    assert len({r.task for r in found}) > 1
+
+
+@pytest.mark.parametrize("bits", [0, 2])
+def test_cutting_in_chunks_equals_cutting_whole_texts(spark, setting, tmp_path, monkeypatch, bits):
+    import random
+    import re
+
+    from costflow.sources import text
+
+    monkeypatch.setattr(text, "_CHUNK_BITS", bits)
+    setting("spark.sql.files.maxPartitionBytes", "500")
+    setting("spark.sql.files.openCostInBytes", "1")
+    random.seed(bits)
+    marks = [";", ";", "a", "é", '"', "'", "--", "\n", "/*", "*/", "-", "/", "*", " ", "''", "x;y", "\r\n"]
+    wanted = []
+    for n in range(60):
+        weights = [random.choice((0.2, 1, 3)) for _ in marks]
+        # The line break ends a comment, in which a `;` at the very end of a file would not be seen.
+        whole = "".join(random.choices(marks, weights, k=random.choice((0, 3, 20, 100, 1000)))) + "\n"
+        (tmp_path / f"{n}.sql").write_text(whole, newline="")
+        wanted += [part for part in re.findall(text._STATEMENT, whole) if part.strip(" \t\r\n")]
+    assert sorted(r.value for r in scan_statements(spark, str(tmp_path)).collect()) == sorted(wanted)
+
+
+def test_column_lists_are_cut_alike_by_search_and_by_pieces(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from costflow.operators.catalog import _PLAIN, _gathered, _items
+
+    random.seed(3)
+    marks = ["a", "b c", "é", ",", ",", '"', '""', '"x, ("', "(", ")", "(1,2)", "((", "))", "(((((1), 2))))", "\n", " "]
+    texts = ["", ",", "a,", ",a", '"', "a\n", "(a,b),c\n"]
+    for _ in range(3000):
+        weights = [random.choice((0, 0.3, 1)) for _ in marks]
+        texts.append("".join(random.choices(marks, [w + 0.01 for w in weights], k=random.choice((2, 5, 12)))))
+    body = F.col("body")
+    rows = spark.createDataFrame([(t,) for t in texts], "body string").select(
+        "body", body.rlike(_PLAIN).alias("plain"), _items(body).alias("cut"), _gathered(body).alias("gathered")
+    ).collect()
+    assert {r.plain for r in rows} == {True, False}
+    for r in rows:
+        assert r.cut == r.gathered or r.cut == [*r.gathered, ""], r.body
